@@ -40,9 +40,16 @@ def count_of(text: Column, piece: str) -> Column:
 
 
 def offset_of(text: Column, pattern: str) -> Column:
-    """0-based offset of the first match, null when there is none."""
-    at = F.regexp_instr(text, F.lit(pattern))
-    return F.when(at > 0, at - 1)
+    """0-based offset of the first match, -1 when there is none."""
+    return F.regexp_instr(text, F.lit(pattern)) - 1
+
+
+def once(value: Column) -> Column:
+    """Generator of one row: a column made with it is computed once, however often it is used.
+
+    The optimizer copies a plain projected expression to each place that reads it.
+    """
+    return F.explode(F.array(value))
 
 
 def clean_utf8(text: Column) -> Column:
@@ -71,7 +78,7 @@ def csv_value(field: Column) -> Column:
         F.substring(quoted, F.lit(2), F.length(quoted) - 2), F.lit('""'), F.lit('"')
     )
     after = F.substring(field, F.length(quoted) + 1, F.length(field))
-    return F.when(quoted == "", field).otherwise(F.concat(inside, after))
+    return F.when(F.startswith(field, F.lit('"')), F.concat(inside, after)).otherwise(field)
 
 
 def as_number(text: Column) -> Column:

@@ -15,7 +15,8 @@ CHUNK_LINES = 65536
 
 def chunk_of(line_no: Column | str, chunk_lines: int = CHUNK_LINES) -> Column:
     number = F.col(line_no) if isinstance(line_no, str) else line_no
-    return F.floor(number / F.lit(chunk_lines)).cast("int")
+    # Never null, so that a join on it adds no null test that would tell two equal scans apart.
+    return F.coalesce(F.floor(number / F.lit(chunk_lines)).cast("int"), F.lit(0))
 
 
 def over_chunks(per_file: DataFrame, last_chunk: str = "last_chunk") -> DataFrame:
@@ -28,7 +29,9 @@ def over_chunks(per_file: DataFrame, last_chunk: str = "last_chunk") -> DataFram
 
 
 def carry_forward(lines: DataFrame, event: Column, out: str) -> DataFrame:
-    """Fill ``out`` with the latest ``event`` (true, false or null for none) up to each line.
+    """Fill ``out`` with the latest ``event`` up to each line, false before any.
+
+    ``event`` is true, false or null for none.
 
     ``lines`` needs file_id, chunk and line_no. Inside a chunk a window does it; the state a
     chunk starts with comes from a second window over one row per chunk. Line number and event
@@ -54,7 +57,7 @@ def carry_forward(lines: DataFrame, event: Column, out: str) -> DataFrame:
     return (
         marked.withColumn("_seen", F.last("_event", ignorenulls=True).over(in_chunk))
         .join(per_chunk, ["file_id", "chunk"], "left")
-        .withColumn(out, F.coalesce("_seen", "_start"))
+        .withColumn(out, F.coalesce("_seen", "_start", F.lit(False)))
         .drop("_event", "_seen", "_start")
     )
 

@@ -10,9 +10,13 @@ from ledgerline.functions.keys import cik_of, date_of
 from ledgerline.functions.rules import (
     FILING_URL, HEADER_CLOSE, HEADER_KEYS, HEADER_OPEN, RULES, TOTAL_RULES, VALUE_TOTAL, java,
 )
-from ledgerline.functions.text import as_number, strip
+from ledgerline.functions.text import as_number, once, strip
 from ledgerline.operators.chunks import CHUNK_LINES, carry_forward, chunk_of, over_chunks
 from ledgerline.operators.merge import typed
+from ledgerline.sources.landing import land
+
+# Marks the amount that text names for a total, beside the value a header line sets.
+NAMED = "named "
 
 
 def column_of(key: str) -> str:
@@ -29,7 +33,7 @@ def header_marker(line: Column) -> Column:
 def header_region(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """Lines with the flag ``in_header``: opening line inside, closing line outside."""
     placed = lines.withColumn("chunk", chunk_of("line_no", chunk_lines))
-    return _flagged(placed, header_marker(F.col("line")), "in_header").drop("chunk")
+    return carry_forward(placed, header_marker(F.col("line")), "in_header").drop("chunk")
 
 
 def table_region(
@@ -43,43 +47,54 @@ def table_region(
     closes = F.col("line").rlike(java(rules["SkipL"])) | bare.rlike(java(rules["StopL"]))
     marker = F.when(closes, False).when(bare.rlike(java(rules["UseL"])), True)
     placed = lines.withColumn("chunk", chunk_of("line_no", chunk_lines))
-    return _flagged(placed, marker, "in_table").drop("chunk")
-
-
-def _flagged(lines: DataFrame, marker: Column, out: str) -> DataFrame:
-    return carry_forward(lines, marker, out).withColumn(out, F.coalesce(out, F.lit(False)))
+    return carry_forward(placed, marker, "in_table").drop("chunk")
 
 
 def header_events(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """The few lines of a filing that can set a header field.
+    """The few lines of a filing that can set a header field, with what they say.
 
-    Markers, ``key: value`` lines and lines naming a total are picked in the scan; only these
-    are sorted to find the header region. ``key`` is the header key an in-header line sets;
-    ``names_<total>`` holds what a line naming that total says, null elsewhere.
+    Picked in the scan, so that only they are sorted to find the header region. An in-header
+    ``key: value`` line has ``key`` and ``value``; a line naming a total has its amount in that
+    total's own column.
     """
-    bare = strip(F.col("line"))
-    key = F.substring_index(bare, ":", 1)
-    is_key = key.isin(HEADER_KEYS) & bare.contains(":")
-    lower = F.lower("line")
-    named = {total: lower.contains(total.lower()) for total in TOTAL_RULES}
-    marker = header_marker(F.col("line"))
-    wanted = reduce(Column.__or__, named.values(), marker.isNotNull() | is_key)
-    events = lines.filter(wanted).select(
+    line, lower = F.col("line"), F.col("lower")
+    totals = {column_of(total): total.lower() for total in TOTAL_RULES}
+    marker = header_marker(line)
+    picked = (
+        lines.select("file_id", "line_no", "line", F.lower("line").alias("lower"))
+        .select("*", once(strip(F.substring_index("line", ":", 1))).alias("key"))
+        .filter(
+            reduce(Column.__or__, [lower.contains(name) for name in totals.values()])
+            | (F.col("key").isin(HEADER_KEYS) & line.contains(":"))
+            | marker.isNotNull()
+        )
+    )
+    placed = picked.select(
         "file_id",
         chunk_of("line_no", chunk_lines).alias("chunk"),
         "line_no",
         marker.alias("marker"),
-        F.when(is_key, key).alias("key"),
+        F.when(F.col("key").isin(HEADER_KEYS) & line.contains(":"), F.col("key")).alias("key"),
         strip(F.substring_index("line", ":", -1)).alias("value"),
-        *[
-            # The rule sees the line end too, and may take it for the amount.
-            F.when(found, F.regexp_extract(F.concat(lower, F.lit("\n")), TOTAL_RULES[total], 1))
-            .alias(column_of(total))
-            for total, found in named.items()
-        ],
+        "lower",
     )
-    flagged = _flagged(events, F.col("marker"), "in_header")
-    return flagged.withColumn("key", F.when(F.col("in_header"), F.col("key"))).drop("marker", "in_header")
+    flagged = carry_forward(placed, F.col("marker"), "in_header")
+    # The rule sees the line end too, and may take it for the amount.
+    amounts = {
+        column: F.when(
+            lower.contains(name),
+            F.regexp_extract(F.concat(lower, F.lit("\n")), TOTAL_RULES[total], 1),
+        )
+        for (column, name), total in zip(totals.items(), TOTAL_RULES, strict=True)
+    }
+    return flagged.select(
+        "file_id",
+        "chunk",
+        "line_no",
+        F.when(F.col("in_header"), F.col("key")).alias("key"),
+        "value",
+        *[amount.alias(column) for column, amount in amounts.items()],
+    ).filter(F.coalesce("key", *totals).isNotNull())
 
 
 def reading_stops(events: DataFrame) -> DataFrame:
@@ -92,80 +107,64 @@ def reading_stops(events: DataFrame) -> DataFrame:
     )
 
 
-def header_fields(files: DataFrame, lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
-    """One row per filing with every header key as a column, empty text where absent.
+def header_values(events: DataFrame) -> DataFrame:
+    """``(file_id, key, value)``: the last value each header key is set to, and the totals.
 
-    In the header the last value of a key wins. The three totals are also taken from any line
-    naming them: the first non-empty one, unless a header line sets the key later on.
+    A total is the last value a header line sets, unless that is empty; else it is the first
+    amount named on or after that line, or anywhere when no header line sets it.
     """
-    events = header_events(lines, chunk_lines)
     stops = over_chunks(reading_stops(events))
     read = events.join(stops, ["file_id", "chunk"]).filter(
         F.col("stop").isNull() | (F.col("line_no") <= F.col("stop"))
     )
-    here = F.struct("line_no", "value")
-    last_set = {
-        key: F.max(F.when(F.col("key") == key, here)).alias(column_of(key)) for key in HEADER_KEYS
-    }
-    said = {}
-    for total in TOTAL_RULES:
-        text = F.col(column_of(total))
-        seen = F.struct("line_no", text.alias("value"))
-        said[total] = F.min(F.when(text != "", seen)).alias("said_" + column_of(total))
-    per_file = read.groupBy("file_id").agg(*last_set.values(), *said.values())
-    return _wide(files, _late_totals(read, per_file))
-
-
-def _late_totals(read: DataFrame, per_file: DataFrame) -> DataFrame:
-    """Where a header line emptied a total again, what a later line says about it.
-
-    ``per_file`` knows the first line naming a total; only a filing whose header sets that key
-    to nothing after it needs a second look, so the join below is all but empty.
-    """
-    def emptied(total):
-        name = column_of(total)
-        late = F.col(name)["line_no"] > F.col("said_" + name)["line_no"]
-        return F.coalesce((F.col(name)["value"] == "") & late, F.lit(False))
-    totals = list(TOTAL_RULES)
-    after = [
-        F.when(emptied(total), F.col(column_of(total))["line_no"]).alias("after_" + column_of(total))
-        for total in totals
-    ]
-    again = per_file.filter(reduce(Column.__or__, [emptied(total) for total in totals])).select(
-        "file_id", *after
+    names = {total: column_of(total) for total in TOTAL_RULES}
+    reset = (
+        read.filter(F.col("key").isin(list(TOTAL_RULES)))
+        .groupBy("file_id", F.col("key").alias("total"))
+        .agg(F.max("line_no").alias("reset_at"))
     )
-    second = read.join(again, "file_id").groupBy("file_id").agg(*[
-        F.min(F.when(
-            (F.col(column_of(total)) != "") & (F.col("line_no") >= F.col("after_" + column_of(total))),
-            F.struct("line_no", F.col(column_of(total)).alias("value")),
-        )).alias("second_" + column_of(total))
-        for total in totals
-    ])
-    joined = per_file.join(second, "file_id", "left")
-    return joined.withColumns({
-        "said_" + column_of(total): F.when(
-            emptied(total), F.col("second_" + column_of(total))
-        ).otherwise(F.col("said_" + column_of(total)))
-        for total in totals
-    })
+    amounts = read.select(
+        "file_id",
+        "line_no",
+        F.inline(F.array(*[
+            F.struct(F.lit(total).alias("total"), F.col(name).alias("amount"))
+            for total, name in names.items()
+        ])),
+    ).filter(F.col("amount") != "")
+    named = amounts.join(reset, ["file_id", "total"], "left").filter(
+        F.col("reset_at").isNull() | (F.col("line_no") >= F.col("reset_at"))
+    )
+    ordered = read.filter(F.col("key").isNotNull()).select(
+        "file_id", "key", F.col("line_no").cast("bigint").alias("rank"), "value"
+    ).unionByName(named.select(
+        "file_id",
+        F.concat(F.lit(NAMED), "total").alias("key"),
+        (-F.col("line_no").cast("bigint")).alias("rank"),
+        F.col("amount").alias("value"),
+    ))
+    return ordered.groupBy("file_id", "key").agg(F.max_by("value", "rank").alias("value"))
 
 
-def _wide(files: DataFrame, per_file: DataFrame) -> DataFrame:
+def header_fields(files: DataFrame, lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """One row per filing with every header key as a column, empty text where absent."""
+    events = land(header_events(lines, chunk_lines), "header_events")
+    # At most one entry per header key: the collected map stays small in any filing.
+    per_file = header_values(events).groupBy("file_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("found")
+    )
+    found = F.col("found")
     own = {"CIK": cik_of(F.col("file_id")), "date": date_of(F.col("file_id"))}
-    values = {}
-    for key in HEADER_KEYS:
-        name = column_of(key)
-        value = F.col(name)["value"]
+    def value_of(key):
+        value = F.try_element_at(found, F.lit(key))
         if key in TOTAL_RULES:
-            value = F.coalesce(F.nullif(value, F.lit("")), F.col("said_" + name)["value"])
-        values[key] = F.coalesce(value, own.get(key, F.lit("")))
-    found = files.select("file_id").join(per_file, "file_id", "left")
-    url = F.concat(F.lit(FILING_URL), values["ACCESSION NUMBER"], F.lit(".txt"))
-    return found.select(
-        F.col("file_id").alias("file"),
-        url.alias("url"),
-        *[values[key].alias(column_of(key)) for key in HEADER_KEYS],
+            named = F.try_element_at(found, F.lit(NAMED + key))
+            value = F.coalesce(F.nullif(value, F.lit("")), named)
+        return F.coalesce(value, own.get(key, F.lit(""))).alias(column_of(key))
+    wide = files.select("file_id").join(per_file, "file_id", "left").select(
+        F.col("file_id").alias("file"), *[value_of(key) for key in HEADER_KEYS]
     )
+    url = F.concat(F.lit(FILING_URL), "accession_number", F.lit(".txt"))
+    return wide.select("file", url.alias("url"), *[column_of(key) for key in HEADER_KEYS])
 
 
 def typed_headers(headers: DataFrame) -> DataFrame:

@@ -12,97 +12,66 @@ from ledgerline.operators.chunks import over_chunks
 from ledgerline.operators.layout import IGNORED, cut_positions, profile, split_on_id
 
 # How value and shares follow the identifier.
-TAB_PAIR = r"(\d+)\t+(\d+)"
-WIDE_PAIR = r"(\d+)\s{2,}(\d+)"
-CLOSE_PAIR = r"(\d+)\s(\d+)"
+TAB_PAIR = r"\d+\t+\d+"
+WIDE_PAIR = r"\d+\s{2,}\d+"
+CLOSE_PAIR = r"\d+\s\d+"
 WIDE_GAP = r"\s{2,}\w"
 
 COLUMNS = ["poss_hit", "name", "type", "cusip", "value", "shares", "opt", "extra"]
 
 
-def option_token(before: Column, after: Column, rules: dict[str, str] = RULES) -> tuple[Column, Column]:
-    """Whether a line may be an option, and the text that says so (after the id, else anywhere)."""
-    rule = java(rules["Anyopt"])
-    both = F.concat(before, after)
-    candidate = both.rlike(rule)
-    text = F.when(after.rlike(rule), F.regexp_extract(after, rule, 0)).otherwise(
-        F.regexp_extract(both, rule, 0)
-    )
-    return candidate, F.when(candidate, text).otherwise(F.lit(UNLIKELY))
-
-
-def _row(poss_hit, *texts, trim=True) -> Column:
-    values = [strip(text) if trim else text for text in texts]
-    return F.struct(
-        poss_hit.alias(COLUMNS[0]),
-        *[value.alias(name) for name, value in zip(COLUMNS[1:], values, strict=True)],
-    )
-
-
-def _pair(text: Column, pattern: str) -> Column:
-    """(value, shares) of the first match, null without one."""
-    return F.when(
-        text.rlike(pattern),
-        F.struct(
-            F.regexp_extract(text, pattern, 1).alias("value"),
-            F.regexp_extract(text, pattern, 2).alias("shares"),
-        ),
-    )
+def option_words(before: Column, after: Column, rules: dict[str, str] = RULES) -> Column:
+    """First text on the line that may mean an option, empty when there is none."""
+    return F.regexp_extract(F.concat(before, after), java(rules["Anyopt"]), 0)
 
 
-def _sliced(text: Column, at: Column) -> tuple[Column, Column]:
-    return F.substring(text, F.lit(1), at), F.substring(text, at + 1, F.length(text))
+def option_token(found: Column, after: Column, rules: dict[str, str] = RULES) -> Column:
+    """The option text to report: what follows the id has precedence over the rest of the line."""
+    behind = F.regexp_extract(after, java(rules["Anyopt"]), 0)
+    return F.when(found == "", UNLIKELY).otherwise(F.coalesce(F.nullif(behind, F.lit("")), found))
 
 
-def _whole(text: Column) -> Column:
-    return F.struct(text.alias("value"), F.lit(MISSING).alias("shares"))
+def _searched(lines: DataFrame, rules: dict[str, str], split_on_tab: bool) -> DataFrame:
+    """Per line what its layout reads out of it, each pattern run once and only where needed.
 
-
-def tab_row(rules: dict[str, str] = RULES, split_on_tab: bool = False) -> Column:
-    """Name and type cut at the filing's usual tab, value and shares around a tab.
-
-    The cut is a position, not the line's own tab, unless the text spells out a backslash and a
-    ``t``; ``split_on_tab`` cuts at the first real tab instead.
+    ``left`` and ``right`` are the two sides of the identifier, null where the layout does not
+    look at them; ``head`` and ``skip`` cut the left side into name and type; ``found`` is the
+    option text; ``pair`` the value and shares found together; ``fields`` the comma fields.
     """
-    before, after = F.col("before"), F.col("after")
+    layout, known = F.col("layout"), F.col("before").isNotNull()
+    fixed, tab = known & (layout == "fixed"), known & (layout == "tab")
+    left, right = F.col("left"), F.col("right")
     mark = "\t" if split_on_tab else "\\t"
-    at = F.instr(before, F.lit(mark))
-    name, kind = _sliced(before, F.coalesce("tab_cut", F.lit(DEFAULT_CUT)))
-    name = F.when(at > 0, F.substring(before, F.lit(1), at - 1)).otherwise(name)
-    kind = F.when(at > 0, F.substring(before, at + len(mark), F.length(before))).otherwise(kind)
-    numbers = F.coalesce(_pair(after, TAB_PAIR), _whole(after))
-    candidate, option = option_token(before, after, rules)
-    return _row(candidate, name, kind, F.col("cusip"), numbers["value"], numbers["shares"],
-                option, F.regexp_replace(after, r"[^\sA-Za-z]", ""))
-
-
-def csv_row(rules: dict[str, str] = RULES) -> Column:
-    """Name, identifier, value and shares by position, the rest joined; null below six fields."""
-    fields = F.transform(csv_fields(F.col("line")), csv_value)
-    extra = F.array_join(F.slice(fields, 5, F.greatest(F.size(fields) - 4, F.lit(0))), " ")
-    name = F.get(fields, 0)
-    candidate = F.concat(name, extra).rlike(java(rules["Anyopt"]))
-    row = _row(candidate, name, F.lit(NOT_APPLICABLE), F.get(fields, 1), F.get(fields, 2),
-               F.get(fields, 3), F.lit(NOT_APPLICABLE), extra, trim=False)
-    return F.when(F.size(fields) > 5, row)
-
-
-def fixed_row(rules: dict[str, str] = RULES) -> Column:
-    """Name and type around the first wide gap, value and shares as two numbers after the id.
-
-    Where a line shows no gap the filing's usual positions cut it.
-    """
-    before, after = (F.translate(name, IGNORED, "") for name in ("before", "after"))
-    gap = F.regexp_instr(before, F.lit(WIDE_GAP))
-    name, kind = _sliced(before, F.coalesce("name_cut", F.lit(DEFAULT_CUT)))
-    name = F.when(gap > 0, F.substring(before, F.lit(1), gap)).otherwise(name)
-    kind = F.when(gap > 0, F.substring(before, gap, F.length(before))).otherwise(kind)
-    value, shares = _sliced(after, F.col("value_cut"))
-    at_cut = F.when(F.col("value_cut") > 0, F.struct(value.alias("value"), shares.alias("shares")))
-    numbers = F.coalesce(_pair(after, WIDE_PAIR), _pair(after, CLOSE_PAIR), at_cut, _whole(after))
-    candidate, option = option_token(before, after, rules)
-    return _row(candidate, name, kind, F.col("cusip"), numbers["value"], numbers["shares"],
-                option, F.regexp_replace(after, r"[^\sA-Za-z]", ""))
+    gap = F.when(layout == "tab", F.instr(left, F.lit(mark))).otherwise(
+        F.regexp_instr(left, F.lit(WIDE_GAP))
+    )
+    first = F.regexp_extract(right, TAB_PAIR, 0)
+    wide = F.regexp_extract(right, WIDE_PAIR, 0)
+    usual = F.coalesce(F.when(layout == "tab", F.col("tab_cut")).otherwise(F.col("name_cut")),
+                       F.lit(DEFAULT_CUT))
+    seen = lines.select(
+        "file_id", "line_no", "layout", "cusip", "line", "value_cut",
+        usual.alias("usual"),
+        F.when(fixed, F.translate("before", IGNORED, "")).when(tab, F.col("before")).alias("left"),
+        F.when(fixed, F.translate("after", IGNORED, "")).when(tab, F.col("after")).alias("right"),
+    ).select(
+        "*",
+        F.inline(F.array(F.struct(
+            option_words(left, right, rules).alias("found"),
+            gap.alias("gap"),
+            F.when(layout == "tab", first).otherwise(wide).alias("wide"),
+            F.when(layout == "csv", csv_fields(F.col("line"))).alias("raw_fields"),
+        ))),
+    )
+    close = F.when((layout == "fixed") & (F.col("wide") == ""), F.regexp_extract(right, CLOSE_PAIR, 0))
+    at_gap = F.col("gap") > 0
+    return seen.select(
+        "file_id", "line_no", "layout", "cusip", "value_cut", "left", "right", "found",
+        F.coalesce(close, "wide").alias("pair"),
+        F.when(at_gap, F.col("gap") - 1).otherwise(F.col("usual")).alias("head"),
+        F.when(at_gap & (layout == "tab"), len(mark)).otherwise(0).alias("skip"),
+        F.transform("raw_fields", csv_value).alias("fields"),
+    )
 
 
 def holdings(
@@ -113,6 +82,13 @@ def holdings(
 
     The one-row-per-filing profile is repeated per chunk and meets the lines where they lie;
     the accepted lines are not shuffled again. Filings voted html or garbage give no rows.
+
+    Tab layout: name and type are cut at the filing's usual tab position, not at the line's own
+    tab (``split_on_tab`` does that), value and shares are two numbers around a tab.
+    Fixed layout: name and type are cut at the first wide gap, else at the usual position; value
+    and shares are two numbers apart, else cut at the usual position.
+    Comma layout: fields by position, untrimmed, from lines of six fields or more; the first four
+    are name, identifier, value and shares, and the rest is joined.
     """
     split = split_on_id(eligible)
     if profiles is None:
@@ -121,15 +97,38 @@ def holdings(
         profiles.filter(F.col("layout").isin("tab", "csv", "fixed"))
         .select("file_id", "last_chunk", "layout", "tab_cut", "name_cut", "value_cut")
     )
-    known = F.col("before").isNotNull()
-    row = (
-        F.when(F.col("layout") == "csv", csv_row(rules))
-        .when(known & (F.col("layout") == "tab"), tab_row(rules, split_on_tab))
-        .when(known, fixed_row(rules))
+    seen = _searched(split.join(cuts, ["file_id", "chunk"]), rules, split_on_tab)
+    commas, left, right, fields = F.col("layout") == "csv", F.col("left"), F.col("right"), F.col("fields")
+    extra = F.array_join(F.slice(fields, F.lit(5), F.greatest(F.size(fields) - 4, F.lit(0))), " ")
+    none = F.col("pair") == ""
+    cut = none & (F.col("layout") == "fixed") & (F.col("value_cut") > 0)
+    pair = F.split("pair", r"\s+")
+    value = F.when(cut, F.substring(right, F.lit(1), F.col("value_cut"))).when(none, right).otherwise(
+        F.get(pair, 0)
     )
+    shares = F.when(cut, F.substring(right, F.col("value_cut") + 1, F.length(right))).when(
+        none, MISSING
+    ).otherwise(F.get(pair, 1))
+    name = F.substring(left, F.lit(1), F.col("head"))
+    kind = F.substring(left, F.col("head") + F.col("skip") + 1, F.length(left))
+    found = F.when(commas, option_words(F.get(fields, 0), extra, rules)).otherwise(F.col("found"))
     return (
-        split.join(cuts, ["file_id", "chunk"])
-        .select("file_id", "line_no", "layout", row.alias("row"))
-        .filter(F.col("row").isNotNull())
-        .select("file_id", "line_no", "layout", "row.*")
+        seen.filter(F.when(commas, F.size(fields) > 5).otherwise(left.isNotNull()))
+        .select(
+            "file_id",
+            "line_no",
+            "layout",
+            (found != "").alias("poss_hit"),
+            F.when(commas, F.get(fields, 0)).otherwise(strip(name)).alias("name"),
+            F.when(commas, NOT_APPLICABLE).otherwise(strip(kind)).alias("type"),
+            F.when(commas, F.get(fields, 1)).otherwise(strip(F.col("cusip"))).alias("cusip"),
+            F.when(commas, F.get(fields, 2)).otherwise(strip(value)).alias("value"),
+            F.when(commas, F.get(fields, 3)).otherwise(strip(shares)).alias("shares"),
+            F.when(commas, NOT_APPLICABLE).otherwise(
+                strip(option_token(F.col("found"), right, rules))
+            ).alias("opt"),
+            F.when(commas, extra).otherwise(
+                strip(F.regexp_replace(right, r"[^\sA-Za-z]", ""))
+            ).alias("extra"),
+        )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerline.functions.text import (
-    WHITE, count_of, offset_of, strip, strip_left_chars, strip_right_chars,
+    WHITE, count_of, offset_of, strip_left_chars, strip_right_chars,
 )
 
 # Where columns begin, and the characters the fixed-width layout ignores.
@@ -67,11 +67,12 @@ def cut_positions(split: DataFrame) -> DataFrame:
         vote,
         cut(TAB, offset_of(F.col("before"), TAB_CUT)),
         cut(BEFORE, offset_of(_squeezed("before"), NAME_CUT)),
-        cut(AFTER, offset_of(_squeezed("after"), VALUE_CUT) + 1),
+        cut(AFTER, offset_of(_squeezed("after"), VALUE_CUT)),
     )
     return (
         split.select("file_id", "chunk", "line_no", F.inline(rows))
-        .filter(F.col("pos").isNotNull())
+        .filter(F.col("pos") >= 0)
+        .withColumn("pos", F.when(F.col("kind") == AFTER, F.col("pos") + 1).otherwise(F.col("pos")))
         .groupBy("file_id", "kind", "pos")
         .agg(
             F.count(F.lit(1)).alias("n"),

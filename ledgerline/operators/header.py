@@ -10,7 +10,7 @@ from ledgerline.functions.keys import cik_of, date_of
 from ledgerline.functions.rules import (
     FILING_URL, HEADER_CLOSE, HEADER_KEYS, HEADER_OPEN, RULES, TOTAL_RULES, VALUE_TOTAL, java,
 )
-from ledgerline.functions.text import as_number, once, strip
+from ledgerline.functions.text import WHITE, as_number, once, strip
 from ledgerline.operators.chunks import CHUNK_LINES, carry_forward, chunk_of, over_chunks
 from ledgerline.operators.merge import typed
 from ledgerline.sources.landing import land
@@ -62,7 +62,7 @@ def header_events(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame
     marker = header_marker(line)
     picked = (
         lines.select("file_id", "line_no", "line", F.lower("line").alias("lower"))
-        .select("*", once(strip(F.substring_index("line", ":", 1))).alias("key"))
+        .select("*", once(F.ltrim(F.substring_index("line", ":", 1), F.lit(WHITE))).alias("key"))
         .filter(
             reduce(Column.__or__, [lower.contains(name) for name in totals.values()])
             | (F.col("key").isin(HEADER_KEYS) & line.contains(":"))

@@ -13,12 +13,6 @@ from ledgerline.operators.dictionary import lookup_keys, security_dictionary
 from ledgerline.operators.index import parse_index
 from ledgerline.sources.landing import land
 
-TABLE_END = 2_000_000_000
-
-
-def _text(name: str):
-    return F.col(name).cast("string")
-
 
 class Corpus:
     """Tables of the corpus; the big ones are landed once per application and reused."""
@@ -146,36 +140,34 @@ class Corpus:
         totals = holding.groupBy("k").agg(
             F.count(F.lit(1)).alias("n"), F.sum(F.col("val").cast("bigint")).alias("total")
         )
-        def numbered(entries):
-            return F.inline(F.array(*[
-                F.struct(F.lit(number).alias("line_no"), text.alias("line")) for number, text in entries
-            ]))
         tab = F.lit("\t")
-        frame = numbered([
+        n, total = F.col("n"), F.col("total")
+        frame = [
             (0, F.concat(F.lit("<SEC-HEADER>"), "accession", F.lit(".hdr"))),
             (1, F.concat(F.lit("ACCESSION NUMBER:"), tab, "accession")),
             (2, F.concat(F.lit("CONFORMED SUBMISSION TYPE:"), tab, "form_type")),
-            (3, F.concat(F.lit("CONFORMED PERIOD OF REPORT:"), tab, F.replace("filed_on", F.lit("-"), F.lit("")))),
+            (3, F.concat(F.lit("CONFORMED PERIOD OF REPORT:"), tab,
+                         F.replace("filed_on", F.lit("-"), F.lit("")))),
             (4, F.concat(tab, tab, F.lit("COMPANY CONFORMED NAME:"), tab, "company")),
             (5, F.concat(tab, tab, F.lit("STREET 1:"), tab, "cik", F.lit(" MAIN"))),
             (6, F.concat(tab, tab, F.lit("STREET 1:"), tab, F.lit("BOX "), "cik")),
             (7, F.lit("</SEC-HEADER>")),
             (8, F.lit("STREET 1: outside the header")),
             (9, F.concat(F.lit("Number of Other Included Managers: "), (F.col("k") % 3).cast("string"))),
-            (12, F.lit("<TABLE>")),
-            (TABLE_END, F.lit("</TABLE>")),
-        ])
-        sums = numbered([
-            (10, F.concat(F.lit("Form 13F Information Table Entry Total:  "), _text("n"))),
+            (10, F.concat(F.lit("Form 13F Information Table Entry Total:  "), n.cast("string"))),
             (11, F.concat(F.lit("Form 13F Information Table Value Total: $ "),
-                          F.floor(F.col("total") / 1000).cast("string"), F.lit(","),
-                          F.lpad((F.col("total") % 1000).cast("string"), 3, "0"))),
-        ])
+                          F.floor(total / 1000).cast("string"), F.lit(","),
+                          F.lpad((total % 1000).cast("string"), 3, "0"))),
+            (12, F.lit("<TABLE>")),
+            (F.coalesce(n, F.lit(0)).cast("int") + 13, F.lit("</TABLE>")),
+        ]
         key = ["file_id", "year", "quarter"]
-        body = holding.select("k", (F.col("rn") + 12).alias("line_no"), "line").unionByName(
-            totals.select("k", sums)
-        )
-        return filings.select(*key, frame).unionByName(
+        around = filings.join(totals, "k", "left").select(*key, F.inline(F.array(*[
+            F.struct((F.lit(at) if isinstance(at, int) else at).alias("line_no"), text.alias("line"))
+            for at, text in frame
+        ]))).filter(F.col("line").isNotNull())
+        body = holding.select("k", (F.col("rn") + 12).alias("line_no"), "line")
+        return around.unionByName(
             body.join(filings.select("k", *key), "k").select(*key, "line_no", "line")
         )
 

@@ -14,7 +14,8 @@ NAME_CUT = r"\s{2}\w"
 VALUE_CUT = r"\d\s{2,}\d"
 IGNORED = "-\t.,$"
 
-VOTE, TAB, BEFORE, AFTER = 0, 1, 2, 3
+# Kinds of counted rows: one per line, the cuts of a layout, and the votes of a line.
+LINE, TAB, BEFORE, AFTER, IS_SPLIT, IS_TAB, IS_CSV, IS_HTML, IS_GARBAGE = range(9)
 
 
 def split_on_id(eligible: DataFrame) -> DataFrame:
@@ -39,50 +40,39 @@ def _squeezed(name: str):
 
 
 def cut_positions(split: DataFrame) -> DataFrame:
-    """Votes and column positions of every filing, counted: (file_id, kind, pos, n, first, ...).
+    """Votes and column positions of every filing, counted: (file_id, kind, pos, n, first, last_chunk).
 
-    One row per line and kind goes into a hash aggregation with map-side combine; a huge filing
-    shuffles no more than its distinct positions.
+    A line gives one row per position it shows and per vote it casts (at position 0). They go
+    into a hash aggregation with map-side combine: a huge filing shuffles its distinct positions.
     """
     line, bare = F.col("line"), F.btrim("line", F.lit(WHITE))
     inside = F.col("before").isNotNull()
-    garbage = F.startswith(bare, F.col("cusip")) & (
-        F.length(bare) < F.length("cusip") + 5
-    )
-    def flag(condition):
-        return F.when(condition, 1).otherwise(0)
-    vote = F.struct(
-        F.lit(VOTE).alias("kind"),
-        F.lit(0).alias("pos"),
-        flag(inside).alias("split"),
-        flag(inside & line.contains("\t")).alias("tab"),
-        flag(inside & (count_of(line, ",") > count_of(line, " "))).alias("csv"),
-        flag(inside & F.upper(line).contains("<HTML>")).alias("html"),
-        flag(garbage).alias("garbage"),
-    )
-    def cut(kind, pos):
-        zeros = [F.lit(0).alias(name) for name in ("split", "tab", "csv", "html", "garbage")]
-        return F.struct(F.lit(kind).alias("kind"), pos.alias("pos"), *zeros)
-    rows = F.array(
-        vote,
-        cut(TAB, offset_of(F.col("before"), TAB_CUT)),
-        cut(BEFORE, offset_of(_squeezed("before"), NAME_CUT)),
-        cut(AFTER, offset_of(_squeezed("after"), VALUE_CUT)),
-    )
+    garbage = F.startswith(bare, F.col("cusip")) & (F.length(bare) < F.length("cusip") + 5)
+    def vote(condition):
+        return F.when(condition, 0).otherwise(-1)
+    positions = {
+        LINE: F.lit(0),
+        TAB: offset_of(F.col("before"), TAB_CUT),
+        BEFORE: offset_of(_squeezed("before"), NAME_CUT),
+        AFTER: offset_of(_squeezed("after"), VALUE_CUT),
+        IS_SPLIT: vote(inside),
+        IS_TAB: vote(inside & line.contains("\t")),
+        IS_CSV: vote(inside & (count_of(line, ",") > count_of(line, " "))),
+        IS_HTML: vote(inside & F.upper(line).contains("<HTML>")),
+        IS_GARBAGE: vote(garbage),
+    }
     return (
-        split.select("file_id", "chunk", "line_no", F.inline(rows))
+        split.select(
+            "file_id", "chunk", "line_no",
+            F.posexplode(F.array(*[positions[kind] for kind in range(9)])).alias("kind", "pos"),
+        )
         .filter(F.col("pos") >= 0)
-        .withColumn("pos", F.when(F.col("kind") == AFTER, F.col("pos") + 1).otherwise(F.col("pos")))
+        .withColumn("pos", F.col("pos") + F.when(F.col("kind") == AFTER, 1).otherwise(0))
         .groupBy("file_id", "kind", "pos")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min("line_no").alias("first"),
             F.max("chunk").alias("last_chunk"),
-            F.sum("split").alias("n_split"),
-            F.sum("tab").alias("n_tab"),
-            F.sum("csv").alias("n_csv"),
-            F.sum("html").alias("n_html"),
-            F.sum("garbage").alias("n_garbage"),
         )
     )
 
@@ -93,17 +83,22 @@ def profile(positions: DataFrame) -> DataFrame:
     The most frequent position wins, and among equals the one seen first. Filings without
     accepted lines have no row; ``full_profile`` adds them.
     """
-    def of(kind):
+    def mode(kind):
         best = F.struct("n", (-F.col("first")).alias("first"), "pos")
         return F.max(F.when(F.col("kind") == kind, best))["pos"]
-    totals = ["n_split", "n_tab", "n_csv", "n_html", "n_garbage"]
+    def count(kind):
+        return F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
     counted = positions.groupBy("file_id").agg(
         F.max("last_chunk").alias("last_chunk"),
-        F.sum(F.when(F.col("kind") == VOTE, F.col("n"))).alias("n_lines"),
-        *[F.sum(name).alias(name) for name in totals],
-        of(TAB).alias("tab_cut"),
-        of(BEFORE).alias("name_cut"),
-        of(AFTER).alias("value_cut"),
+        count(LINE).alias("n_lines"),
+        count(IS_SPLIT).alias("n_split"),
+        count(IS_TAB).alias("n_tab"),
+        count(IS_CSV).alias("n_csv"),
+        count(IS_HTML).alias("n_html"),
+        count(IS_GARBAGE).alias("n_garbage"),
+        mode(TAB).alias("tab_cut"),
+        mode(BEFORE).alias("name_cut"),
+        mode(AFTER).alias("value_cut"),
     )
     return counted.withColumn("layout", vote_of())
 

@@ -28,17 +28,15 @@ def over_chunks(per_file: DataFrame, last_chunk: str = "last_chunk") -> DataFram
     return per_file.withColumn("chunk", F.explode(F.sequence(F.lit(0), last_chunk))).drop(last_chunk)
 
 
-def carry_forward(lines: DataFrame, event: Column, out: str) -> DataFrame:
-    """Fill ``out`` with the latest ``event`` up to each line, false before any.
-
-    ``event`` is true, false or null for none.
-
-    ``lines`` needs file_id, chunk and line_no. Inside a chunk a window does it; the state a
-    chunk starts with comes from a second window over one row per chunk. Line number and event
-    share one number there, so that the rows per chunk come from a hash aggregation.
+def carry_forward(lines: DataFrame, events: DataFrame, out: str) -> DataFrame:
+    """Fill ``out`` with the latest event up to each line, false before any.
+
+    ``lines`` and ``events`` have file_id, chunk and line_no. ``events`` has every line of the
+    filings, with ``event`` true, false or null for none; ``lines`` has ``event`` too and may be
+    a part of them that keeps all events. Inside a chunk a window does it. The state a chunk
+    starts with comes from a second window over one row per chunk; line number and event share
+    one number there, so that these rows come from a hash aggregation.
     """
-    marked = lines.withColumn("_event", event)
-    code = F.col("line_no").cast("bigint") * 2 + F.col("_event").cast("bigint")
     in_chunk = (
         Window.partitionBy("file_id", "chunk").orderBy("line_no")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -47,18 +45,19 @@ def carry_forward(lines: DataFrame, event: Column, out: str) -> DataFrame:
         Window.partitionBy("file_id").orderBy("chunk")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    code = F.col("line_no").cast("bigint") * 2 + F.col("event").cast("bigint")
     per_chunk = (
-        marked.groupBy("file_id", "chunk")
+        events.groupBy("file_id", "chunk")
         .agg(F.max(code).alias("_end"))
         .withColumn("_start", F.last(F.col("_end") % 2 == 1, ignorenulls=True).over(before))
-        .filter(F.col("_start").isNotNull())
+        .filter(F.col("_start"))
         .select("file_id", "chunk", "_start")
     )
     return (
-        marked.withColumn("_seen", F.last("_event", ignorenulls=True).over(in_chunk))
+        lines.withColumn("_seen", F.last("event", ignorenulls=True).over(in_chunk))
         .join(per_chunk, ["file_id", "chunk"], "left")
         .withColumn(out, F.coalesce("_seen", "_start", F.lit(False)))
-        .drop("_event", "_seen", "_start")
+        .drop("event", "_seen", "_start")
     )
 
 

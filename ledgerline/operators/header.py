@@ -32,8 +32,12 @@ def header_marker(line: Column) -> Column:
 
 def header_region(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """Lines with the flag ``in_header``: opening line inside, closing line outside."""
-    placed = lines.withColumn("chunk", chunk_of("line_no", chunk_lines))
-    return carry_forward(placed, header_marker(F.col("line")), "in_header").drop("chunk")
+    placed = _with_event(lines, header_marker(F.col("line")), chunk_lines)
+    return carry_forward(placed, placed, "in_header").drop("chunk")
+
+
+def _with_event(lines: DataFrame, event: Column, chunk_lines: int) -> DataFrame:
+    return lines.withColumn("chunk", chunk_of("line_no", chunk_lines)).withColumn("event", event)
 
 
 def table_region(
@@ -46,8 +50,8 @@ def table_region(
     bare = F.replace("line", F.lit("-"), F.lit(""))
     closes = F.col("line").rlike(java(rules["SkipL"])) | bare.rlike(java(rules["StopL"]))
     marker = F.when(closes, False).when(bare.rlike(java(rules["UseL"])), True)
-    placed = lines.withColumn("chunk", chunk_of("line_no", chunk_lines))
-    return carry_forward(placed, marker, "in_table").drop("chunk")
+    placed = _with_event(lines, marker, chunk_lines)
+    return carry_forward(placed, placed, "in_table").drop("chunk")
 
 
 def header_events(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
@@ -73,12 +77,12 @@ def header_events(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame
         "file_id",
         chunk_of("line_no", chunk_lines).alias("chunk"),
         "line_no",
-        marker.alias("marker"),
+        marker.alias("event"),
         F.when(F.col("key").isin(HEADER_KEYS) & line.contains(":"), F.col("key")).alias("key"),
         strip(F.substring_index("line", ":", -1)).alias("value"),
         "lower",
     )
-    flagged = carry_forward(placed, F.col("marker"), "in_header")
+    flagged = carry_forward(placed, _with_event(lines, marker, chunk_lines), "in_header")
     # The rule sees the line end too, and may take it for the amount.
     amounts = {
         column: F.when(
@@ -152,16 +156,21 @@ def header_fields(files: DataFrame, lines: DataFrame, chunk_lines: int = CHUNK_L
     per_file = header_values(events).groupBy("file_id").agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("found")
     )
-    found = F.col("found")
+    slots = HEADER_KEYS + [NAMED + total for total in TOTAL_RULES]
+    values = F.transform(
+        F.array(*map(F.lit, slots)), lambda slot: F.try_element_at("found", slot)
+    )
     own = {"CIK": cik_of(F.col("file_id")), "date": date_of(F.col("file_id"))}
     def value_of(key):
-        value = F.try_element_at(found, F.lit(key))
+        value = F.get("values", F.lit(slots.index(key)))
         if key in TOTAL_RULES:
-            named = F.try_element_at(found, F.lit(NAMED + key))
+            named = F.get("values", F.lit(slots.index(NAMED + key)))
             value = F.coalesce(F.nullif(value, F.lit("")), named)
         return F.coalesce(value, own.get(key, F.lit(""))).alias(column_of(key))
-    wide = files.select("file_id").join(per_file, "file_id", "left").select(
-        F.col("file_id").alias("file"), *[value_of(key) for key in HEADER_KEYS]
+    wide = (
+        files.select("file_id").join(per_file, "file_id", "left")
+        .select("file_id", once(values).alias("values"))
+        .select(F.col("file_id").alias("file"), *[value_of(key) for key in HEADER_KEYS])
     )
     url = F.concat(F.lit(FILING_URL), "accession_number", F.lit(".txt"))
     return wide.select("file", url.alias("url"), *[column_of(key) for key in HEADER_KEYS])
@@ -179,8 +188,9 @@ def typed_headers(headers: DataFrame) -> DataFrame:
 def with_header(headers: DataFrame, stock: DataFrame) -> DataFrame:
     """Every filing's header beside each of its holdings; filings without holdings stay.
 
-    Written as a join plus the filings it leaves out: in a plain outer join the holdings of a
-    huge filing could not be split over tasks, since they are not the preserved side.
+    ``stock`` is read twice and ``headers`` too, so they should be landed tables.
+    It is a join plus the filings that leaves out: in a plain outer join the holdings of a huge
+    filing could not be split over tasks, since they are not the preserved side.
     """
     wide = headers.select(
         F.col("file").alias("filename"), "accession_number", "company_conformed_name",

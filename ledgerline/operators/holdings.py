@@ -102,13 +102,13 @@ def holdings(
     extra = F.array_join(F.slice(fields, F.lit(5), F.greatest(F.size(fields) - 4, F.lit(0))), " ")
     none = F.col("pair") == ""
     cut = none & (F.col("layout") == "fixed") & (F.col("value_cut") > 0)
-    pair = F.split("pair", r"\s+")
+    pair = F.translate("pair", "\t\n\r\x0b\x0c", "     ")
     value = F.when(cut, F.substring(right, F.lit(1), F.col("value_cut"))).when(none, right).otherwise(
-        F.get(pair, 0)
+        F.substring_index(pair, " ", 1)
     )
     shares = F.when(cut, F.substring(right, F.col("value_cut") + 1, F.length(right))).when(
         none, MISSING
-    ).otherwise(F.get(pair, 1))
+    ).otherwise(F.substring_index(pair, " ", -1))
     name = F.substring(left, F.lit(1), F.col("head"))
     kind = F.substring(left, F.col("head") + F.col("skip") + 1, F.length(left))
     found = F.when(commas, option_words(F.get(fields, 0), extra, rules)).otherwise(F.col("found"))

@@ -18,7 +18,7 @@ from ledgerline.operators import merge as mrg
 from ledgerline.operators.holdings import holdings
 from ledgerline.plans.corpus import Corpus, corpus
 from ledgerline.sources.filings import lines_of
-from ledgerline.sources.landing import fresh_path
+from ledgerline.sources.landing import fresh_path, land
 from ledgerline.streaming.arrivals import ingest, lines_of_texts
 
 PERIOD_YEARS, PERIOD_QUARTERS = range(1996, 1999), (1, 2)
@@ -215,7 +215,7 @@ OPERATORS: dict[str, Callable[[Corpus], DataFrame]] = {
     "table_region": lambda c: hdr.table_region(c.lines()).select("file_id", "line_no", "in_table"),
     "header_fields": _headers,
     "header_totals": header_totals,
-    "holdings_with_header": lambda c: hdr.with_header(_headers(c), _stock(c)),
+    "holdings_with_header": lambda c: hdr.with_header(land(_headers(c), "headers"), land(_stock(c), "stock")),
     "totals_reconciled": totals_reconciled,
     "index_parse": lambda c: idx.parse_index(c.index_lines()),
     "index_period_prune": index_period_prune,

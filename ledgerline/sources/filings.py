@@ -25,10 +25,12 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
 
 def lines_of(texts: DataFrame, key: str, text: str) -> DataFrame:
     """Split whole texts into numbered lines; a final line end adds no empty line."""
-    pieces = F.split(clean_utf8(F.col(text)), NEWLINES)
-    ended = F.get(pieces, F.size(pieces) - 1) == ""
-    kept = F.slice(pieces, F.lit(1), F.size(pieces) - F.when(ended, 1).otherwise(0))
-    return texts.select(key, F.posexplode(kept).alias("line_no", "line"))
+    whole = clean_utf8(F.col(text))
+    ended = F.when(whole.endswith("\r\n"), 2).when(whole.endswith("\n") | whole.endswith("\r"), 1).otherwise(0)
+    cut = F.substring(whole, F.lit(1), F.length(whole) - ended)
+    return texts.filter(F.col(text) != "").select(
+        key, F.posexplode(F.split(cut, NEWLINES)).alias("line_no", "line")
+    )
 
 
 def read_lines(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:

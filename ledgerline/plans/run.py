@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F
 
+from ledgerline.functions.keys import cik_of
 from ledgerline.functions.rules import RULES
 from ledgerline.operators.eligible import eligible_rows, remainder_lines
 from ledgerline.operators.header import header_fields
 from ledgerline.operators.holdings import holdings
 from ledgerline.operators.layout import cut_positions, full_profile, profile, split_on_id
+from ledgerline.operators.manifest import not_yet, of_entities
 from ledgerline.operators.merge import merged, option_audit
 from ledgerline.sources.sinks import with_period, write_by_period, write_merged
 
@@ -35,3 +38,21 @@ def extract(lines: DataFrame, keys: DataFrame, folder: str, rules: dict[str, str
     publish(header_fields(files, lines), "headers", "file")
     publish(option_audit(eligible, rows, rules).drop("year"), "option_audit")
     write_merged(merged(rows), folder)
+
+
+def curate(lines: DataFrame, entities: DataFrame, folder: str) -> None:
+    """Add the filings of the given entities to a curated archive, leaving out what it has.
+
+    ``entities(cik)`` is compared with the filer in the file key. The archive is partitioned by
+    period and only grows; a second run over the same filings adds nothing.
+    """
+    chosen = of_entities(lines.withColumn("cik", cik_of(F.col("file_id"))), entities).drop("cik")
+    try:
+        done = lines.sparkSession.read.parquet(folder).select("file_id").distinct()
+    except AnalysisException:
+        done = None
+    fresh = chosen if done is None else not_yet(chosen, done)
+    dated = with_period(fresh.select("file_id", "line_no", "line"))
+    dated.hint("rebalance", "year", "quarter").write.mode("append").partitionBy(
+        "year", "quarter"
+    ).parquet(folder)

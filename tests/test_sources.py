@@ -11,7 +11,7 @@ from ledgerline.operators.holdings import holdings
 from ledgerline.operators.index import in_periods, parse_index
 from ledgerline.operators.manifest import curated_folder, manifest, not_yet, of_entities
 from ledgerline.operators.merge import merged
-from ledgerline.plans.run import extract
+from ledgerline.plans.run import curate, extract
 from ledgerline.sources.filings import read_index_lines, read_lines, read_long_lines, scan_files
 from ledgerline.sources.sinks import export_merged, write_merged
 from ledgerline.sources.tables import read_entities, read_index, read_list_a, read_list_b, read_master
@@ -179,3 +179,13 @@ def test_whole_run(spark, archive, tmp_path):
     }
     assert counts == {"eligible": 2, "remainder": 8, "holdings": 2, "layouts": 3, "headers": 3,
                       "option_audit": 2, "stock": 2, "option": 1, "option_def": 1}
+
+
+def test_curated_archive_grows_once(spark, archive, tmp_path):
+    lines = read_lines(spark, f"{archive}/*/*.txt")
+    target = str(tmp_path / "curated")
+    for ciks, n_files in ((["12"], 1), (["12"], 1), (["12", "13"], 2)):
+        curate(lines, spark.createDataFrame([(cik,) for cik in ciks], "cik string"), target)
+        kept = spark.read.parquet(target)
+        assert kept.select("file_id").distinct().count() == n_files
+        assert as_dict(kept) == {name: text for name, text in LINES.items() if name.split("_")[0] in ciks}

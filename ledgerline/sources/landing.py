@@ -8,13 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor reaches: ``spark.checkpoint.dir``, set here only if unset."""
+    """The folder every executor reaches: ``spark.checkpoint.dir``, a temporary one only if unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="ledgerline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="ledgerline-")
+    return _OWN_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

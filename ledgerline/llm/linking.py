@@ -22,7 +22,7 @@ from ledgerline.sources.landing import land
 #: Bits of a prefilter: a fixed 4 MB whatever the data holds. When it is full it lets all rows pass.
 BITS = 1 << 25
 #: Rounds with leaders at most, before all pairs that are left are checked.
-ROUNDS = 6
+ROUNDS = 1
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -73,26 +73,29 @@ def maybe(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return mapped(placed, kept, schema)
 
 
-def _pairs(rows: DataFrame, leaders: DataFrame, size_rule: str) -> DataFrame:
+def _pairs(rows: DataFrame, leaders: DataFrame, size_rule: str, need: str) -> DataFrame:
     """Members beside the leader of each of their keys, with the number of shared keys where enough."""
     led = rows.join(leaders, "key").where("id <> lead.id").where(size_rule)
     pairs = led.groupBy(F.greatest("id", "lead.id").alias("a"), F.least("id", "lead.id").alias("b"))
-    return pairs.agg(F.count("*").alias("shared"), F.min(F.least("need", "lead.need")).alias("need")).where("shared >= need").select("a", "b")
+    return pairs.agg(F.count("*").alias("shared"), F.min(F.expr(need)).alias("need")).where("shared >= need").select("a", "b")
 
 
 def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) whose components are those of all pairs that share enough keys and pass the check.
 
-    rows: key long, id long, n int (size of the record's set), need int (keys a pair must share, the
-    smaller of both counts), each (key, id) once. check: returns those pairs (a, b) that are linked.
-    Pairs whose sizes differ too much for the similarity are left out.
+    rows: key long, id long, n int (size of the record's set), rest int (elements of the set that come
+    after the record's keys in the common order), each (key, id) once. check: returns those pairs (a, b)
+    that are linked. Of the record whose keys end first, all shared elements up to there are shared
+    keys and at most its ``rest`` can follow. So a pair that reaches the similarity shares the overlap
+    it needs less the larger ``rest``, and others are not checked; neither are sizes too far apart.
     """
+    need = f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - greatest(rest, lead.rest))"
     size_rule = f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)"
-    lead = F.struct("id", "n", "need")
+    lead = F.struct("id", "n", "rest")
     keys = rows.groupBy("key").agg(F.min(lead).alias("lead"), F.max("id").alias("last")).where("lead.id <> last").drop("last")
     keys = land(keys, "shared_keys")
     shared = land(maybe(rows, "key", keys.select("key")).join(keys.select("key"), "key", "left_semi"), "shared_rows")
-    links = land(check(_pairs(shared, keys, size_rule)), "linked")
+    links = land(check(_pairs(shared, keys, size_rule, need)), "linked")
     for turn in range(ROUNDS + 1):
         roots = components(links)
         placed = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -104,10 +107,10 @@ def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int)
             return links
         if turn == ROUNDS or n_pairs <= 4 * n_rows:
             break
-        leaders = rest.groupBy("key").agg(F.max_by(F.struct("id", "n", "need", "root"), F.xxhash64("id", F.lit(turn))).alias("lead"))
-        found = land(check(_pairs(rest, leaders, f"{size_rule} and root <> lead.root")), "linked")
+        leaders = rest.groupBy("key").agg(F.max_by(F.struct("id", "n", "rest", "root"), F.xxhash64("id", F.lit(turn))).alias("lead"))
+        found = land(check(_pairs(rest, leaders, f"{size_rule} and root <> lead.root", need)), "linked")
         if found.isEmpty():
             break
         links = links.union(found)
-    other = rest.select("key", F.struct("id", "n", "need", "root").alias("lead"))
-    return links.union(land(check(_pairs(rest, other, f"{size_rule} and root < lead.root")), "linked"))
+    other = rest.select("key", F.struct("id", "n", "rest", "root").alias("lead"))
+    return links.union(land(check(_pairs(rest, other, f"{size_rule} and root < lead.root", need)), "linked"))

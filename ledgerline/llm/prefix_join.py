@@ -2,9 +2,9 @@
 
 Two documents link when the Jaccard similarity of their sets of word shingles reaches a threshold.
 Shingles are put in one global order, rare before frequent. Similar documents must share shingles
-early in that order: in prefixes of ``n - ceil(t*n) + m`` shingles they share ``m`` at least. Each
-document picks its own ``m``: a longer prefix costs more rows, but a candidate must then meet it more
-often before it is verified. A pair has to share the smaller of its two counts.
+early in that order: in prefixes of ``n - ceil(t*n) + m`` shingles they share ``m`` at least, and more
+when the sizes of both are known. Each document picks its own ``m``: a longer prefix costs more rows,
+but a candidate must then meet it more often before it is verified.
 
 The order follows a counting table of fixed size over all shingles of the corpus; any order gives
 the same links, a good one gives fewer candidates. Documents with equal sets are one record.
@@ -30,7 +30,7 @@ from ledgerline.sources.landing import land
 #: Counters of the frequency table (8 MB), whatever the corpus.
 COUNTERS = 1 << 21
 #: Choices for the number of shared prefix shingles.
-MATCHES = np.array([1, 2, 3, 4, 6, 8])
+MATCHES = np.array([1, 2, 4, 8, 16, 32, 64, 128])
 #: Cost of looking at one candidate's whole set, in prefix rows.
 VERIFY = 20.0
 
@@ -77,15 +77,18 @@ def counted(texts: DataFrame, k: int) -> np.ndarray:
     return out.reshape(-1)
 
 
-def chosen(frequency: np.ndarray, percent: int, noise: float) -> tuple[int, int]:
-    """Shared shingles to ask for and the prefix length, from the frequencies in order."""
+def chosen(frequency: np.ndarray, percent: int, noise: float) -> int:
+    """The prefix length that costs least, from the frequencies in order.
+
+    Cost: the prefix itself, the records it is estimated to meet, and the whole sets to look at, at most
+    as many as are met often enough by a pair of equal sizes.
+    """
     n = len(frequency)
-    least = -(-percent * n // 100)
-    counts = MATCHES[MATCHES <= least]
-    lengths = n - least + counts
+    least, common = -(-percent * n // 100), -(-2 * percent * n // (100 + percent))
+    lengths = n - least + MATCHES[MATCHES <= least]
     met = np.cumsum(np.maximum(frequency - noise, 0.0))[lengths - 1]
-    best = int(np.argmin(lengths + met + VERIFY * met / counts))
-    return int(counts[best]), int(lengths[best])
+    asked = np.maximum(1, lengths - (n - common))
+    return int(lengths[np.argmin(lengths + met + VERIFY * met / asked)])
 
 
 def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -97,26 +100,26 @@ def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
     def per_text(batches):
         for batch in batches:
             for row, data, offsets in chunks(batch.column("text")):
-                n, need, digests, kept = [], [], [], []
+                n, left, digests, kept = [], [], [], []
                 for own in shingles(data, offsets, k):
                     often = sent.value[(own >> np.uint64(43)).astype(np.int64)]
                     n.append(len(own))
                     digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                     if not len(own):
-                        need.append(1)
+                        left.append(0)
                         kept.append(np.zeros(0, np.int64))
                         continue
                     order = np.lexsort((own, often))
-                    m, length = chosen(often[order].astype(float), percent, noise)
-                    need.append(m)
+                    length = chosen(often[order].astype(float), percent, noise)
+                    left.append(len(own) - length)
                     kept.append(own[order[:length]].view(np.int64))
                 rest = batch.slice(row, len(n))
                 yield pa.RecordBatch.from_arrays(
-                    [rest.column("tid"), rest.column("doc_id"), pa.array(n, pa.int32()), pa.array(need, pa.int32()), pa.array(digests, pa.binary()), list_column(kept, pa.int64())],
-                    ["tid", "doc_id", "n", "need", "digest", "prefix"],
+                    [rest.column("tid"), rest.column("doc_id"), pa.array(n, pa.int32()), pa.array(left, pa.int32()), pa.array(digests, pa.binary()), list_column(kept, pa.int64())],
+                    ["tid", "doc_id", "n", "rest", "digest", "prefix"],
                 )
 
-    return mapped(texts, per_text, "tid long, doc_id long, n int, need int, digest binary, prefix array<long>")
+    return mapped(texts, per_text, "tid long, doc_id long, n int, rest int, digest binary, prefix array<long>")
 
 
 def verified(pairs: DataFrame, records: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -155,9 +158,9 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = land(prefixes(texts, k, percent), "prefixes")
     records = rows.where("n > 0").groupBy("digest").agg(F.min("tid").alias("tid"))
     records = land(records.withColumn("id", F.monotonically_increasing_id()), "records")
-    sets = rows.where("n > 0").select("tid", "n", "need", "prefix").dropDuplicates(["tid"])
-    keys = sets.join(records.select("tid", "id"), "tid").select("id", "n", "need", F.explode("prefix").alias("key"))
-    links = link(keys.select("key", "id", "n", "need"), lambda pairs: verified(pairs, records, texts, k, percent), percent)
+    sets = rows.where("n > 0").select("tid", "n", "rest", "prefix").dropDuplicates(["tid"])
+    keys = sets.join(records.select("tid", "id"), "tid").select("id", "n", "rest", F.explode("prefix").alias("key"))
+    links = link(keys.select("key", "id", "n", "rest"), lambda pairs: verified(pairs, records, texts, k, percent), percent)
     grouped = records.join(components(links), "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
     linked = rows.where("n > 0").select("digest", "doc_id", "tid", "n").join(grouped, "digest")
     out = linked.select("doc_id", "tid", "n", "root")

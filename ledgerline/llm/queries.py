@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.bpe import round_trip
+from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
 
 
@@ -14,6 +16,30 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: The public byte-level vocabulary of the contract.
+VOCABULARY = "byte_bpe_50k.json"
+
+
+def vocabulary_path(name: str = VOCABULARY) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents encoded and decoded: counts and digests of ids and text."""
+    both = round_trip(_table(spark, folder, "documents"), vocabulary_path())
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with the words that a mix of 150 % takes of each; sources weigh 5, 2, 1 in turn."""
+    return mixed(_table(spark, folder, "documents"), (5, 2, 1), 1.5, 2.0)
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with their component under 4-word shingles and a similarity of 0.85."""
     return similar_documents(_table(spark, folder, "documents").select("doc_id", "text"), 4, 85)

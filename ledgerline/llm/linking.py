@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.shipping import mapped
 from ledgerline.sources.landing import land
 
-#: Bits of a prefilter: a fixed 4 MB whatever the data holds. When it is full it lets all rows pass.
-BITS = 1 << 25
+#: A prefilter has 2**25 bits: a fixed 4 MB whatever the data holds. When it is full it lets all rows pass.
+BIT_COUNT = 25
 #: Rounds with leaders at most, before all pairs that are left are checked.
 ROUNDS = 1
 
@@ -50,27 +50,30 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def bitmap(ids: DataFrame) -> np.ndarray:
-    """Bits of the ids in the one column of a table, as a fixed-size array of 64-bit words."""
-    place = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(BITS))
-    bits = ids.select(F.shiftright(place, 6).cast("int").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(xxhash64({ids.columns[0]}), {BITS}) % 64 as int))").alias("bit"))
-    found = bits.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()
-    out = np.zeros(BITS // 64, np.int64)
+    """Bits of the ids (evenly spread hashes, one column), as a fixed-size array of 64-bit words."""
+    place = F.shiftrightunsigned(F.col(ids.columns[0]), 64 - BIT_COUNT)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    found = ids.select(F.shiftright(place, 6).cast("int").alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(1 << (BIT_COUNT - 6), np.int64)
     out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
+def marked(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which ids (64-bit hashes) may be in a bitmap."""
+    place = (ids.view(np.uint64) >> np.uint64(64 - BIT_COUNT)).view(np.int64)
+    return (bits[place >> 6] >> (place & 63)) & 1 == 1
+
+
 def maybe(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     """Rows whose column may be among ids: spares a shuffle most of the others; join to be exact."""
     sent = rows.sparkSession.sparkContext.broadcast(bitmap(ids))
 
     def kept(batches):
         for batch in batches:
-            place = batch.column(batch.num_columns - 1).to_numpy()
-            yield batch.filter(pa.array((sent.value[place >> 6] >> (place & 63)) & 1 == 1)).drop_columns("maybe_place")
+            yield batch.filter(pa.array(marked(sent.value, batch.column(column).to_numpy())))
 
-    schema = rows.schema
-    placed = rows.withColumn("maybe_place", F.pmod(F.xxhash64(column), F.lit(BITS)))
-    return mapped(placed, kept, schema)
+    return mapped(rows, kept, rows.schema)
 
 
 def _pairs(rows: DataFrame, leaders: DataFrame, size_rule: str, need: str) -> DataFrame:

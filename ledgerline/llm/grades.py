@@ -4,8 +4,8 @@ A rating's grades are ordered: 0 toxic, 1 poor, 2 good. One linear score of hash
 shared by all grades; ordered thresholds cut it: P(grade <= k) = logistic(threshold_k - score). That
 gives the expected grade and the probability of at least some grade, by which documents are selected.
 
-Features: each distinct word (lower case) and each run of symbols, hashed, together weighing as much
-whatever the length; and the shape of the text in hashed steps (repeated neighbours, capitals,
+Features: each distinct word (lower case), its beginnings and each run of symbols, hashed, weighing
+less each the more there are; and the shape of the text in hashed steps (repeated neighbours, capitals,
 symbols, distinct words, length). The model is fitted on a bounded sample of the rated documents, the
 ``fit_rows`` with the smallest hash of doc_id; features are computed in tasks over whole texts.
 
@@ -30,6 +30,8 @@ from ledgerline.sources.landing import land
 BUCKETS = 1 << 18
 #: Rated documents that a model is fitted on, at most.
 FIT_ROWS = 12_000
+#: Bytes of the word beginnings that are features as well.
+PREFIXES = (4, 5, 6)
 
 _KIND = np.full(256, 1, np.uint8)  # 0 white space, 1 letters, digits and bytes beyond ASCII, 2 symbols
 _KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = 2
@@ -59,11 +61,15 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     hashes = slices(_VALUES[_LOWER[data]], starts, ends)
     text = np.searchsorted(offsets, starts, "right") - 1
     symbol = kind[starts] == 2
-    buckets = (hashes >> np.uint64(46)).astype(np.int64)
-    pairs = np.unique((text << 18) | buckets)
+    named, owners = [hashes], [text]
+    for length in PREFIXES:  # words that begin alike
+        longer = (ends - starts > length) & ~symbol
+        named.append(mixed(slices(_VALUES[_LOWER[data]], starts[longer], starts[longer] + length) + np.uint64(length)))
+        owners.append(text[longer])
+    pairs = np.unique((np.concatenate(owners) << 18) | (np.concatenate(named) >> np.uint64(46)).astype(np.int64))
     of, bucket = pairs >> 18, pairs & (BUCKETS - 1)
     distinct = np.bincount(of, minlength=n_texts)
-    value = 1.0 / np.sqrt(np.maximum(distinct, 1))[of]
+    value = np.maximum(distinct, 1)[of] ** -0.25
 
     def per_text(flags):
         return np.bincount(text[flags], minlength=n_texts)
@@ -103,7 +109,7 @@ class Model:
         return 1.0 / (1.0 + np.exp(np.clip(self.thresholds[None, :] - scores[:, None], -50, 50)))
 
 
-def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, epochs: int = 12, rate: float = 0.5, decay: float = 1e-6) -> Model:
+def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, epochs: int | None = None, rate: float = 0.5, decay: float = 1e-6) -> Model:
     """The model of rows (grade, buckets, values): adaptive gradient steps; rare grades weigh more, to the root of their rarity."""
     weights, squares = np.zeros(BUCKETS), np.full(BUCKETS, 1e-4)
     low, steps = -2.0, np.ones(grades - 2) * np.log(1.0)
@@ -112,6 +118,7 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, epochs:
     if not rows or np.count_nonzero(counts) < 2:
         return Model(weights, np.full(grades - 1, -20.0) + np.arange(grades - 1))
     importance = np.sqrt(len(rows) / grades / np.maximum(counts, 1))
+    epochs = epochs or max(12, 150_000 // len(rows))
     draw = np.random.default_rng(7)
     for epoch in range(epochs):
         order = draw.permutation(len(rows))

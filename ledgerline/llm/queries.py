@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.bpe import round_trip
+from ledgerline.llm.fuzzy_lines import without_repeats
+from ledgerline.llm.grades import fit, graded, rated
 from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
+from ledgerline.llm.warc import archived
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +43,31 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed(_table(spark, folder, "documents"), (5, 2, 1), 1.5, 2.0)
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages through archives: payload size and digest (of the payload read back; a revisit's from its headers), type, response."""
+    found = archived(_table(spark, folder, "pages"))
+    whole = F.col("record_type") == "response"
+    return found.select(
+        "page_id", F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha1(F.col("payload").cast("binary"))).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to_page").alias("refers_to"),
+    )
+
+
+def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with one line left of each group of fuzzy copies."""
+    kept = without_repeats(_table(spark, folder, "documents").select("doc_id", "text", "n_chars"))
+    return kept.select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that the classifier keeps, with expected grade and tail probabilities."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    model = fit(docs, rated(_table(spark, folder, "labels")))
+    found = graded(docs, model).where(F.element_at("tail", 2) >= 0.5)
+    return found.select("doc_id", "expected_grade", F.element_at("tail", 1).alias("p_poor_or_better"), F.element_at("tail", 2).alias("p_good"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with their component under 4-word shingles and a similarity of 0.85."""
     return similar_documents(_table(spark, folder, "documents").select("doc_id", "text"), 4, 85)

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from ledgerline.llm.bpe import round_trip
 from ledgerline.llm.fuzzy_lines import without_repeats
 from ledgerline.llm.grades import fit, graded, rated
+from ledgerline.llm.graph_ann import nearest
 from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
+from ledgerline.llm.syncmers import edited_pairs, likeness
 from ledgerline.llm.warc import archived
 
 
@@ -54,12 +56,27 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_syncmers(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and their edited texts: fingerprints, and how alike they, and the next document's, are."""
+    found = edited_pairs(_table(spark, folder, "documents"))
+    listed = lambda c: F.array_join(F.col(c).cast("array<string>"), " ")
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), listed("fp").alias("fingerprint"), listed("edited_fp").alias("edited_fingerprint"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with one line left of each group of fuzzy copies."""
     kept = without_repeats(_table(spark, folder, "documents").select("doc_id", "text", "n_chars"))
     return kept.select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"), F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op8_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest of each vector whose vec_id is divisible by 20."""
+    return nearest(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The documents that the classifier keeps, with expected grade and tail probabilities."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")

@@ -11,8 +11,10 @@ from ledgerline.llm.bpe import round_trip
 from ledgerline.llm.fuzzy_lines import without_repeats
 from ledgerline.llm.grades import fit, graded, rated
 from ledgerline.llm.graph_ann import nearest
+from ledgerline.llm.main_text import main_texts
 from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
+from ledgerline.llm.prefix_tree import CLOSE, END, OPEN, digests
 from ledgerline.llm.syncmers import edited_pairs, likeness
 from ledgerline.llm.warc import archived
 
@@ -31,6 +33,20 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations, and one that is full of control strings, formatted in prefix trees and read back."""
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    trap = f"{END}{OPEN} ok {CLOSE}"
+    added = spark.createDataFrame([(-7, 0, "user", trap), (-7, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
+    return digests(given.unionByName(added))
+
+
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages with their main text."""
+    found = main_texts(_table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Documents encoded and decoded: counts and digests of ids and text."""
     both = round_trip(_table(spark, folder, "documents"), vocabulary_path())

@@ -160,13 +160,18 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
 
     def similar(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
-                line, hashes = _windows(*_values([x, y]), k)
-                first, second = np.unique(hashes[line == 0]), np.unique(hashes[line == 1])
-                common = len(np.intersect1d(first, second, assume_unique=True))
-                keep.append(100 * common >= percent * (len(first) + len(second) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                first, second = part.column("a").to_pylist(), part.column("b").to_pylist()
+                once = dict(zip(first + second, part.column("text_a").to_pylist() + part.column("text_b").to_pylist()))
+                line, hashes = _windows(*_values(list(once.values())), k)
+                cuts = np.searchsorted(line, np.arange(1, len(once)))
+                sets = {name: np.unique(x) for name, x in zip(once, np.split(hashes, cuts))}
+                keep = []
+                for x, y in zip(first, second):
+                    common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    keep.append(100 * common >= percent * (len(sets[x]) + len(sets[y]) - common))
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return mapped(both, similar, "a long, b long")
 

@@ -175,7 +175,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, fit_rows: int = FI
     # A document that is repeated counts once, so the driver gets fit_rows feature lists at most.
     once = mapped(sample, made, "doc_id long, grade int, bucket binary, value binary").dropDuplicates(["doc_id"])
     found = once.orderBy("doc_id").toPandas()
-    rows = [(int(g), np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(v, np.float32).astype(float)) for g, b, v in zip(found["grade"], found["bucket"], found["value"])]
+    rows = [(int(g), np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for g, b, v in zip(found["grade"], found["bucket"], found["value"])]
     return fitted(rows, grades)
 
 

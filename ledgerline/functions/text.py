@@ -57,7 +57,8 @@ def clean_utf8(text: Column) -> Column:
     return F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
 
 
-QUOTED = r'"[^"]*(?:""[^"]*)*"'
+# Possessive, so that a field of any length takes no stack.
+QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
 
 
 def csv_fields(line: Column) -> Column:
@@ -67,7 +68,7 @@ def csv_fields(line: Column) -> Column:
     ordinary character, and text after a closing quote belongs to the field.
     """
     return F.regexp_extract_all(
-        F.concat(line, F.lit(",")), F.lit(rf'({QUOTED}[^,]*|[^",][^,]*|),'), F.lit(1)
+        F.concat(line, F.lit(",")), F.lit(rf'({QUOTED}[^,]*+|[^",][^,]*+|),'), F.lit(1)
     )
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ledgerline.functions.keys import cik_of
 from ledgerline.functions.rules import RULES
@@ -13,31 +13,35 @@ from ledgerline.operators.holdings import holdings
 from ledgerline.operators.layout import cut_positions, full_profile, profile, split_on_id
 from ledgerline.operators.manifest import not_yet, of_entities
 from ledgerline.operators.merge import merged, option_audit
-from ledgerline.sources.sinks import with_period, write_by_period, write_merged
+from ledgerline.sources.landing import land
+from ledgerline.sources.sinks import add_by_period, published, with_period, write_merged
 
 
 def extract(lines: DataFrame, keys: DataFrame, folder: str, rules: dict[str, str] = RULES) -> None:
-    """Write eligible, remainder, layouts, holdings, headers, audit and merged tables.
+    """Add filings to the eligible, remainder, layouts, holdings, headers, audit and merged tables.
 
-    ``lines`` should be a landed table: it is read three times. Periods present in it replace
-    the same periods of an earlier run, other periods stay.
+    ``lines`` should be a landed table: it is read three times. Filings that the tables have already
+    are left out, and what is published is never read to compute anything else: each stage is landed
+    for this run and appended, filing by filing, so a run that broke off can be repeated.
     """
-    spark = lines.sparkSession
-
-    def publish(table: DataFrame, name: str, key: str = "file_id") -> DataFrame:
-        write_by_period(with_period(table, key), f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
-
-    files = lines.select("file_id").distinct()
-    eligible = publish(eligible_rows(lines, keys, rules), "eligible")
-    publish(remainder_lines(lines, eligible, rules), "remainder")
-    eligible = eligible.drop("year", "quarter")
-    profiles = profile(cut_positions(split_on_id(eligible)))
-    publish(full_profile(files, profiles), "layouts")
-    rows = publish(holdings(eligible, rules), "holdings").drop("year", "quarter")
-    publish(header_fields(files, lines), "headers", "file")
-    publish(option_audit(eligible, rows, rules).drop("year"), "option_audit")
+    known = StructType([lines.schema["file_id"]])
+    fresh = not_yet(lines, published(lines.sparkSession, f"{folder}/headers", StructType([StructField("file", known[0].dataType)])).select(F.col("file").alias("file_id")))
+
+    def staged(table: DataFrame, name: str, key: str = "file_id") -> DataFrame:
+        made = land(with_period(table, key), name)
+        add_by_period(made, f"{folder}/{name}", key)
+        return made
+
+    fresh = land(fresh, "fresh")
+    files = fresh.select("file_id").distinct()
+    eligible = staged(eligible_rows(fresh, keys, rules), "eligible").drop("year", "quarter")
+    staged(remainder_lines(fresh, eligible, rules), "remainder")
+    profiles = land(profile(cut_positions(split_on_id(eligible))), "profiles")
+    staged(full_profile(files, profiles), "layouts")
+    rows = staged(holdings(eligible, rules, profiles=profiles), "holdings").drop("year", "quarter")
+    staged(option_audit(eligible, rows, rules).drop("year"), "option_audit")
     write_merged(merged(rows), folder)
+    staged(header_fields(files, fresh), "headers", "file")  # last: names the filings that are done
 
 
 def curate(lines: DataFrame, entities: DataFrame, folder: str) -> None:
@@ -47,11 +51,8 @@ def curate(lines: DataFrame, entities: DataFrame, folder: str) -> None:
     period and only grows; a second run over the same filings adds nothing.
     """
     chosen = of_entities(lines.withColumn("cik", cik_of(F.col("file_id"))), entities).drop("cik")
-    try:
-        done = lines.sparkSession.read.parquet(folder).select("file_id").distinct()
-    except AnalysisException:
-        done = None
-    fresh = chosen if done is None else not_yet(chosen, done)
+    done = published(lines.sparkSession, folder, StructType([lines.schema["file_id"]])).distinct()
+    fresh = not_yet(chosen, done)
     dated = with_period(fresh.select("file_id", "line_no", "line"))
     dated.hint("rebalance", "year", "quarter").write.mode("append").partitionBy(
         "year", "quarter"

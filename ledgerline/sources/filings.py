@@ -24,8 +24,8 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lines_of(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Split whole texts into numbered lines; a final line end adds no empty line."""
-    whole = clean_utf8(F.col(text))
+    """Split whole texts into numbered lines; a final line end adds no empty line, a leading byte-order mark is dropped."""
+    whole = F.regexp_replace(clean_utf8(F.col(text)), "^\ufeff", "")
     ended = F.when(whole.endswith("\r\n"), 2).when(whole.endswith("\n") | whole.endswith("\r"), 1).otherwise(0)
     cut = F.substring(whole, F.lit(1), F.length(whole) - ended)
     return texts.filter(F.col(text) != "").select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,14 +14,21 @@ _OWN_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor reaches: ``spark.checkpoint.dir``, a temporary one only if unset."""
+    """The folder every executor reaches: ``spark.checkpoint.dir``.
+
+    Where it is unset a local session takes a temporary folder, removed when the driver ends; on a
+    cluster that would be another folder on each machine, so it is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    application = spark.sparkContext.applicationId
-    if application not in _OWN_FOLDERS:
-        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="ledgerline-")
-    return _OWN_FOLDERS[application]
+    context = spark.sparkContext
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _OWN_FOLDERS:
+        path = _OWN_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return _OWN_FOLDERS[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -42,5 +51,5 @@ def land(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
 
 
 def fits(table: DataFrame, max_rows: int) -> bool:
-    """Whether a table has at most ``max_rows`` rows; counts no further than that."""
-    return table.limit(max_rows + 1).count() <= max_rows
+    """Whether a table has at most ``max_rows`` rows; a plain count, which landed tables answer from their footers."""
+    return table.count() <= max_rows

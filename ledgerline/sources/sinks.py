@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.functions.keys import date_of
 from ledgerline.operators.merge import as_written, definite_options, option_candidates
+from ledgerline.sources.landing import land
 
 
 def with_period(table: DataFrame, key: str = "file_id") -> DataFrame:
@@ -30,16 +33,32 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
 
 
-def write_merged(stock: DataFrame, folder: str) -> None:
-    """Stock, option and definite-option tables from one computation of the holdings.
+def published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A published table, empty where there is none yet; other errors are errors."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-    The stock table is written once and the other two are filters of what was written.
+
+def add_by_period(table: DataFrame, path: str, key: str) -> None:
+    """Append the filings that a published table does not have; filings and periods in it stay as they are."""
+    done = published(table.sparkSession, path, table.schema).select(key).distinct()
+    write_by_period(table.join(done, key, "left_anti"), path, "append")
+
+
+def write_merged(stock: DataFrame, folder: str) -> DataFrame:
+    """Stock, option and definite-option tables of new filings, from one computation of the holdings.
+
+    The stock rows are landed once and the other two are filters of them; returns what was landed.
     """
-    path = f"{folder}/stock"
-    write_by_period(with_period(stock, "filename"), path)
-    written = stock.sparkSession.read.parquet(path)
-    option_candidates(written).write.mode("overwrite").parquet(f"{folder}/option")
-    definite_options(written).write.mode("overwrite").parquet(f"{folder}/option_def")
+    written = land(with_period(stock, "filename"), "stock")
+    add_by_period(written, f"{folder}/stock", "filename")
+    add_by_period(option_candidates(written), f"{folder}/option", "filename")
+    add_by_period(definite_options(written), f"{folder}/option_def", "filename")
+    return written
 
 
 def export_merged(stock: DataFrame, folder: str) -> None:

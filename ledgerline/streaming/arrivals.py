@@ -16,8 +16,13 @@ from ledgerline.sources.filings import WHOLE_BYTES, lines_of
 from ledgerline.sources.landing import land
 
 
+def arriving_filings(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Stream of the lines of all new files, whatever their size, with the block they are in; see ``lines_of_blocks``."""
+    return arriving_long_lines(spark, path, -1, **options)
+
+
 def arriving_texts(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES, **options) -> DataFrame:
-    """Stream of ``(file_id, text)``: new files of usual size, whole."""
+    """Stream of ``(file_id, text)``: new files of usual size, whole; ``arriving_filings`` takes files of any size."""
     return (
         spark.readStream.format("text").options(wholetext=True, **options).load(path)
         .filter(F.col("_metadata.file_size") <= whole_bytes)

@@ -1,6 +1,6 @@
 """Numpy helpers that hash words, word runs and character runs of many texts at once.
 
-Everything works on chunks of about two million bytes (one text at least), so memory stays bounded
+Everything works on chunks of about half a million bytes (one text at least), so memory stays bounded
 whatever the Arrow batch holds. Hashes are polynomial sums over random 64-bit values: the hash of a
 slice is a difference of two running sums times a power of the inverse base.
 """
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1

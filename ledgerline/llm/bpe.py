@@ -26,11 +26,11 @@ from pyspark.sql import types as T
 from ledgerline.llm.shipping import mapped
 
 #: Words whose ids a worker keeps; when they are so many it starts anew.
-KEPT_WORDS = 1 << 18
+KEPT_WORDS = 1 << 17
 #: Longer words are not kept.
 KEPT_LENGTH = 64
 #: Code points of text encoded at once.
-CHUNK = 1_000_000
+CHUNK = 300_000
 
 # The word pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

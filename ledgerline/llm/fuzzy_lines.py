@@ -28,8 +28,8 @@ BANDS, ROWS = 10, 4
 SHINGLE, PERCENT = 9, 80
 
 #: Lines a task remembers to send their bands once.
-_REMEMBERED = 1 << 19
-_CODES = 1_000_000
+_REMEMBERED = 1 << 17
+_CODES = 300_000
 _EMPTY = np.uint32(0xFFFFFFFF)
 _LETTERS = mixed(np.arange(1, 65537, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -92,7 +92,7 @@ def bands(lines: list[str], k: int = SHINGLE) -> np.ndarray:
 
 
 def _split(column: pa.Array):
-    """(rows, the text and place of each line that is not blank, in runs of about a million characters)."""
+    """(rows, the text and place of each line that is not blank, in runs of about 300,000 characters)."""
     texts, start = column.fill_null(""), 0
     while start < len(texts):
         stop, n, lines, rows, places = start, 0, [], [], []

@@ -51,7 +51,7 @@ def counted(texts: DataFrame, k: int) -> np.ndarray:
                 for own in shingles(data, offsets, k, distinct=False):
                     waiting.append(own)
                     n += len(own)
-                if n > 4_000_000:
+                if n > 1_000_000:
                     add()
                     waiting, n = [], 0
         if waiting:

@@ -7,7 +7,8 @@ gives the expected grade and the probability of at least some grade, by which do
 Features: each distinct word (lower case), its beginnings and each run of symbols, hashed, weighing
 less each the more there are; and the shape of the text in hashed steps (repeated neighbours, capitals,
 symbols, distinct words, length). The model is fitted on a bounded sample of the rated documents, the
-``fit_rows`` with the smallest hash of doc_id; features are computed in tasks over whole texts.
+``fit_rows`` with the smallest hash of doc_id; features are computed in tasks over whole texts and
+one task fits the model.
 
 Null and empty texts have no features; they get the grade that the thresholds give a score of the
 bias alone. Without ratings everything is selected.
@@ -172,11 +173,21 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int = 3, fit_rows: int = FI
                     ["doc_id", "grade", "bucket", "value"],
                 )
 
-    # A document that is repeated counts once, so the driver gets fit_rows feature lists at most.
+    def trained(batches):
+        rows = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "grade", "bucket", "value"))):
+                rows.append(row)
+        rows = [(g, np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for _, g, b, v in sorted(rows)]
+        model = fitted(rows, grades)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([model.thresholds.tobytes()], pa.binary())], ["weights", "thresholds"])
+
+    # A document that is repeated counts once, so one task gets fit_rows feature lists at most.
     once = mapped(sample, made, "doc_id long, grade int, bucket binary, value binary").dropDuplicates(["doc_id"])
-    found = once.orderBy("doc_id").toPandas()
-    rows = [(int(g), np.frombuffer(b, np.int32), np.frombuffer(v, np.float32)) for g, b, v in zip(found["grade"], found["bucket"], found["value"])]
-    return fitted(rows, grades)
+    found = mapped(once.repartition(1), trained, "weights binary, thresholds binary").collect()
+    if not found:
+        return fitted([], grades)
+    return Model(np.frombuffer(bytes(found[0]["weights"])), np.frombuffer(bytes(found[0]["thresholds"])))
 
 
 def selected(docs: DataFrame, model: Model, least_grade: int = 2, probability: float = 0.5) -> DataFrame:

@@ -12,12 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 import ledgerline
 
+#: Rows in an Arrow batch, where the session has Spark's own 10,000: texts are long, and a batch is held several times.
+BATCH_ROWS = 1_000
+_ROWS_OPTION = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 _sent: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let workers import this package; once an application."""
+    """Let workers import this package, once an application, and keep Arrow batches small."""
     context = spark.sparkContext
+    if spark.conf.get(_ROWS_OPTION) == "10000":
+        spark.conf.set(_ROWS_OPTION, BATCH_ROWS)
     if context.applicationId in _sent:
         return
     root = Path(ledgerline.__file__).resolve().parent

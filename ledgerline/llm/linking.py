@@ -1,10 +1,13 @@
 """Links between records that share keys, found without listing the pairs of a group.
 
-``link`` takes rows (key, id) and a check of candidate pairs. Each round names one leader a key and
-checks the key's members against it only, so candidates grow with the rows. Checked links are joined
-into components, keys whose members are all connected are done, and the next round takes another
-leader. When few pairs across components are left (or a round connects nothing), exactly those are
-checked: every pair of one key is either checked or already connected, so no component is split.
+``link`` takes rows (key, id) and a check of candidate pairs. Each round names one leader a key, the
+member whose keys most others have, and checks the key's members against it only, so candidates grow
+with the rows. Checked links are joined into components, and keys whose members are all connected are
+done. Keys that a record shares with no other component bound what it can have in common with one;
+records and pairs that cannot reach the similarity any more are done too. Of the pairs that are left,
+each record's best few are checked first, which connects most of the others, then all that still lie
+across components: every pair of one key is checked, connected, or too far apart for sure, so no
+component is split.
 """
 
 from __future__ import annotations
@@ -21,8 +24,12 @@ from ledgerline.sources.landing import land
 
 #: A prefilter has 2**25 bits: a fixed 4 MB whatever the data holds. When it is full it lets all rows pass.
 BIT_COUNT = 25
-#: Rounds with leaders at most, before all pairs that are left are checked.
-ROUNDS = 1
+#: Rounds that check each record's best pairs at most, before all pairs that are left are checked.
+ROUNDS = 2
+#: Best pairs a record: one in each bin of its partners.
+BINS = 16
+#: Keys of a record that travel with its rows, so that a join counts shared keys itself; where there are more, rows are counted.
+_LISTED = 64
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -76,13 +83,57 @@ def maybe(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return mapped(rows, kept, rows.schema)
 
 
-def _pairs(rows: DataFrame, leaders: DataFrame, size_rule: str, need: str) -> DataFrame:
-    """Members beside the leader of each of their keys, with the number of shared keys where enough."""
-    led = rows.join(leaders, "key").where("id <> lead.id").where(size_rule)
+#: What a record is known by beside a key: its set's size, what follows its keys, and the most it can share.
+_KNOWN = ("id", "n", "rest", "most")
+
+
+def _crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (key, id, n, rest, root) of keys that lie in several components, with most and score.
+
+    most: how much a record can share with a set of another component, as all keys that it shares with
+    none are its own. Records with too little are left out. score: how many rows its keys have, in the mean.
+    """
+    keys = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", "c")
+    keys = land(keys, "crossing_keys")
+    left = land(maybe(rows, "key", keys.select("key")).join(keys, "key"), "crossing_rows")
+    own = left.groupBy("id").agg(F.count("*").alias("k"), F.sum("c").alias("s"))
+    rated = left.drop("c").join(own, "id").withColumn("most", (F.col("rest") + F.col("k")).cast("int"))
+    rated = rated.withColumn("score", F.col("s") / F.greatest(F.lit(1), F.col("n") - F.col("rest"))).drop("k", "s")
+    return land(rated.where(f"100 * most >= {percent} * n"), "crossing")
+
+
+def _possible(percent: int) -> tuple[str, str]:
+    """Whether sizes leave the similarity of a record and lead possible, and how many keys they must share."""
+    sizes = f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n) and {100 + percent} * least(most, lead.most) >= {percent} * (n + lead.n)"
+    return sizes, f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - greatest(rest, lead.rest))"
+
+
+def _led(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members and the leader of their keys that share enough of the keys it leads."""
+    sizes, need = _possible(percent)
+    central = F.max_by(F.struct(*_KNOWN), F.struct("score", F.negative("id")))
+    led = rows.join(rows.groupBy("key").agg(central.alias("lead")), "key").where("id <> lead.id").where(sizes)
     pairs = led.groupBy(F.greatest("id", "lead.id").alias("a"), F.least("id", "lead.id").alias("b"))
     return pairs.agg(F.count("*").alias("shared"), F.min(F.expr(need)).alias("need")).where("shared >= need").select("a", "b")
 
 
+def _across(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b, shared) of different components that share enough keys.
+
+    Records carry up to ``_LISTED`` keys in each row; two such records meet in the smallest key that
+    they share, if they share enough. Others meet in each key and are counted afterwards.
+    """
+    sizes, need = _possible(percent)
+    lists = rows.groupBy("id").agg(F.collect_list("key").alias("keys")).select("id", F.when(F.size("keys") <= _LISTED, F.col("keys")).alias("keys"))
+    rows = rows.join(lists, "id").select("key", "keys", "root", *_KNOWN)
+    common = "array_intersect(keys, lead.keys)"
+    rule = f"root < lead.root and {sizes} and (keys is null or lead.keys is null or (key = array_min({common}) and size({common}) >= {need}))"
+    met = rows.join(rows.select("key", F.struct("keys", "root", *_KNOWN).alias("lead")), "key").where(rule)
+    shared = F.expr(f"if(keys is null or lead.keys is null, 1, size({common}))")
+    met = met.select(F.col("id").alias("a"), F.col("lead.id").alias("b"), shared.alias("shared"), F.expr(need).alias("need"))
+    return met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need").drop("need")
+
+
 def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) whose components are those of all pairs that share enough keys and pass the check.
 
@@ -92,28 +143,27 @@ def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int)
     keys and at most its ``rest`` can follow. So a pair that reaches the similarity shares the overlap
     it needs less the larger ``rest``, and others are not checked; neither are sizes too far apart.
     """
-    need = f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - greatest(rest, lead.rest))"
-    size_rule = f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)"
-    lead = F.struct("id", "n", "rest")
-    keys = rows.groupBy("key").agg(F.min(lead).alias("lead"), F.max("id").alias("last")).where("lead.id <> last").drop("last")
-    keys = land(keys, "shared_keys")
-    shared = land(maybe(rows, "key", keys.select("key")).join(keys.select("key"), "key", "left_semi"), "shared_rows")
-    links = land(check(_pairs(shared, keys, size_rule, need)), "linked")
-    for turn in range(ROUNDS + 1):
-        roots = components(links)
-        placed = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        split = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        rest = land(placed.join(split, "key", "left_semi"), "rest")
-        parts = rest.groupBy("key", "root").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q"))
-        n_rows, n_pairs = parts.agg(F.coalesce(F.sum("s"), F.lit(0)), F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0))).first()
-        if not n_rows:
-            return links
-        if turn == ROUNDS or n_pairs <= 4 * n_rows:
+    rest = _crossing(rows.withColumn("root", F.col("id")), percent)
+    links = land(check(_led(rest, percent)), "linked")
+    placed = rest.select("key", "id", "n", "rest").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    pairs = land(_across(_crossing(placed, percent), percent), "pairs_across")
+    for _ in range(ROUNDS):
+        one = pairs.select(F.col("a").alias("id"), F.col("b").alias("other"), "shared")
+        both = one.union(pairs.select("b", "a", "shared"))
+        best = both.groupBy("id", F.pmod(F.xxhash64("other"), F.lit(BINS))).agg(F.max_by("other", F.struct("shared", "other")).alias("other"))
+        best = land(best.select(F.greatest("id", "other").alias("a"), F.least("id", "other").alias("b")).distinct(), "best_pairs")
+        if pairs.count() <= 2 * best.count():
             break
-        leaders = rest.groupBy("key").agg(F.max_by(F.struct("id", "n", "rest", "root"), F.xxhash64("id", F.lit(turn))).alias("lead"))
-        found = land(check(_pairs(rest, leaders, f"{size_rule} and root <> lead.root", need)), "linked")
+        found = land(check(best), "linked")
         if found.isEmpty():
             break
         links = links.union(found)
-    other = rest.select("key", F.struct("id", "n", "rest", "root").alias("lead"))
-    return links.union(land(check(_pairs(rest, other, f"{size_rule} and root < lead.root", need)), "linked"))
+        pairs = land(_split(pairs, components(links)), "pairs_across")
+    return links.union(land(check(pairs.select("a", "b")), "linked"))
+
+
+def _split(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs that lie in different components."""
+    roots = land(roots, "roots")
+    placed = pairs.join(roots.toDF("a", "x"), "a", "left").join(roots.toDF("b", "y"), "b", "left")
+    return placed.where("coalesce(x, a) <> coalesce(y, b)").select("a", "b", "shared")

@@ -3,8 +3,8 @@
 ``link`` takes rows (key, id) and a check of candidate pairs. Each round names one leader a key, the
 member whose keys most others have, and checks the key's members against it only, so candidates grow
 with the rows. Checked links are joined into components, and keys whose members are all connected are
-done. Keys that a record shares with no other component bound what it can have in common with one;
-records and pairs that cannot reach the similarity any more are done too. Of the pairs that are left,
+done. Keys that a record shares with no other component bound what a pair can have in common; pairs
+that cannot reach the similarity any more are done too. Of the pairs that are left,
 each record's best few are checked first, which connects most of the others, then all that still lie
 across components: every pair of one key is checked, connected, or too far apart for sure, so no
 component is split.
@@ -83,15 +83,15 @@ def maybe(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return mapped(rows, kept, rows.schema)
 
 
-#: What a record is known by beside a key: its set's size, what follows its keys, and the most it can share.
-_KNOWN = ("id", "n", "rest", "most")
+#: What a record is known by beside a key: its set's size, what follows its keys, where they end, and the most it can share.
+_KNOWN = ("id", "n", "rest", "last", "most")
 
 
-def _crossing(rows: DataFrame, percent: int) -> DataFrame:
-    """Rows (key, id, n, rest, root) of keys that lie in several components, with most and score.
+def _crossing(rows: DataFrame) -> DataFrame:
+    """Rows (key, id, n, rest, last, root) of keys that lie in several components, with most and score.
 
-    most: how much a record can share with a set of another component, as all keys that it shares with
-    none are its own. Records with too little are left out. score: how many rows its keys have, in the mean.
+    most: how much a record can share with one of another component whose keys end later, as keys that
+    lie in no other component are shared with none. score: how many rows its keys have, in the mean.
     """
     keys = rows.groupBy("key").agg(F.count("*").alias("c"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key", "c")
     keys = land(keys, "crossing_keys")
@@ -99,13 +99,17 @@ def _crossing(rows: DataFrame, percent: int) -> DataFrame:
     own = left.groupBy("id").agg(F.count("*").alias("k"), F.sum("c").alias("s"))
     rated = left.drop("c").join(own, "id").withColumn("most", (F.col("rest") + F.col("k")).cast("int"))
     rated = rated.withColumn("score", F.col("s") / F.greatest(F.lit(1), F.col("n") - F.col("rest"))).drop("k", "s")
-    return land(rated.where(f"100 * most >= {percent} * n"), "crossing")
+    return land(rated, "crossing")
 
 
 def _possible(percent: int) -> tuple[str, str]:
-    """Whether sizes leave the similarity of a record and lead possible, and how many keys they must share."""
-    sizes = f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n) and {100 + percent} * least(most, lead.most) >= {percent} * (n + lead.n)"
-    return sizes, f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - greatest(rest, lead.rest))"
+    """Whether sizes leave the similarity of a record and lead possible, and how many keys they must share.
+
+    Both bounds are those of the record whose keys end first: what is shared up to there are shared keys.
+    """
+    first = "if(last < lead.last, {0}, if(last > lead.last, lead.{0}, greatest({0}, lead.{0})))"
+    sizes = f"100 * least(n, lead.n) >= {percent} * greatest(n, lead.n) and {100 + percent} * {first.format('most')} >= {percent} * (n + lead.n)"
+    return sizes, f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - {first.format('rest')})"
 
 
 def _led(rows: DataFrame, percent: int) -> DataFrame:
@@ -138,15 +142,18 @@ def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int)
     """Links (a, b) whose components are those of all pairs that share enough keys and pass the check.
 
     rows: key long, id long, n int (size of the record's set), rest int (elements of the set that come
-    after the record's keys in the common order), each (key, id) once. check: returns those pairs (a, b)
+    after the record's keys in the common order), last long (where in that order its keys end; may be
+    coarse, and missing if unknown), each (key, id) once. check: returns those pairs (a, b)
     that are linked. Of the record whose keys end first, all shared elements up to there are shared
     keys and at most its ``rest`` can follow. So a pair that reaches the similarity shares the overlap
-    it needs less the larger ``rest``, and others are not checked; neither are sizes too far apart.
+    it needs less that ``rest``, and others are not checked; neither are sizes too far apart.
     """
-    rest = _crossing(rows.withColumn("root", F.col("id")), percent)
+    if "last" not in rows.columns:
+        rows = rows.withColumn("last", F.lit(0).cast("long"))
+    rest = _crossing(rows.withColumn("root", F.col("id")))
     links = land(check(_led(rest, percent)), "linked")
-    placed = rest.select("key", "id", "n", "rest").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    pairs = land(_across(_crossing(placed, percent), percent), "pairs_across")
+    placed = rest.select("key", "id", "n", "rest", "last").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    pairs = land(_across(_crossing(placed), percent), "pairs_across")
     for _ in range(ROUNDS):
         one = pairs.select(F.col("a").alias("id"), F.col("b").alias("other"), "shared")
         both = one.union(pairs.select("b", "a", "shared"))

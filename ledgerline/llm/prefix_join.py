@@ -92,7 +92,7 @@ def chosen(frequency: np.ndarray, percent: int, noise: float) -> int:
 
 
 def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """For each text (tid, doc_id, text): the size and a digest of its set, its prefix and the matches it asks for."""
+    """For each text (tid, doc_id, text): the size and a digest of its set, its prefix, where that ends in the order, and how much follows."""
     frequency = counted(texts, k)
     noise = float(frequency.mean())
     sent = texts.sparkSession.sparkContext.broadcast(frequency)
@@ -100,26 +100,29 @@ def prefixes(texts: DataFrame, k: int, percent: int) -> DataFrame:
     def per_text(batches):
         for batch in batches:
             for row, data, offsets in chunks(batch.column("text")):
-                n, left, digests, kept = [], [], [], []
+                n, left, last, digests, kept = [], [], [], [], []
                 for own in shingles(data, offsets, k):
                     often = sent.value[(own >> np.uint64(43)).astype(np.int64)]
                     n.append(len(own))
                     digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
                     if not len(own):
                         left.append(0)
+                        last.append(0)
                         kept.append(np.zeros(0, np.int64))
                         continue
                     order = np.lexsort((own, often))
                     length = chosen(often[order].astype(float), percent, noise)
                     left.append(len(own) - length)
+                    end = order[length - 1]
+                    last.append((int(often[end]) << 32) | (int(own[end]) >> 32))
                     kept.append(own[order[:length]].view(np.int64))
                 rest = batch.slice(row, len(n))
                 yield pa.RecordBatch.from_arrays(
-                    [rest.column("tid"), rest.column("doc_id"), pa.array(n, pa.int32()), pa.array(left, pa.int32()), pa.array(digests, pa.binary()), list_column(kept, pa.int64())],
-                    ["tid", "doc_id", "n", "rest", "digest", "prefix"],
+                    [rest.column("tid"), rest.column("doc_id"), pa.array(n, pa.int32()), pa.array(left, pa.int32()), pa.array(last, pa.int64()), pa.array(digests, pa.binary()), list_column(kept, pa.int64())],
+                    ["tid", "doc_id", "n", "rest", "last", "digest", "prefix"],
                 )
 
-    return mapped(texts, per_text, "tid long, doc_id long, n int, rest int, digest binary, prefix array<long>")
+    return mapped(texts, per_text, "tid long, doc_id long, n int, rest int, last long, digest binary, prefix array<long>")
 
 
 def verified(pairs: DataFrame, records: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -158,9 +161,9 @@ def classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     rows = land(prefixes(texts, k, percent), "prefixes")
     records = rows.where("n > 0").groupBy("digest").agg(F.min("tid").alias("tid"))
     records = land(records.withColumn("id", F.monotonically_increasing_id()), "records")
-    sets = rows.where("n > 0").select("tid", "n", "rest", "prefix").dropDuplicates(["tid"])
-    keys = sets.join(records.select("tid", "id"), "tid").select("id", "n", "rest", F.explode("prefix").alias("key"))
-    links = link(keys.select("key", "id", "n", "rest"), lambda pairs: verified(pairs, records, texts, k, percent), percent)
+    sets = rows.where("n > 0").select("tid", "n", "rest", "last", "prefix").dropDuplicates(["tid"])
+    keys = sets.join(records.select("tid", "id"), "tid").select("id", "n", "rest", "last", F.explode("prefix").alias("key"))
+    links = link(keys.select("key", "id", "n", "rest", "last"), lambda pairs: verified(pairs, records, texts, k, percent), percent)
     grouped = records.join(components(links), "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
     linked = rows.where("n > 0").select("digest", "doc_id", "tid", "n").join(grouped, "digest")
     out = linked.select("doc_id", "tid", "n", "root")

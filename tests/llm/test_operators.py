@@ -64,6 +64,34 @@ def test_ngram_join(docs, empty, texts):
     assert prefix_join.similar_documents(empty, 4, 80).count() == 0
 
 
+def test_ngram_join_of_copies_at_the_threshold(spark):
+    """Copies of one text, each with a few words of its own: similarities lie on both sides of the threshold, many on it."""
+    draw = random.Random(5)
+    bases = [[f"w{b}x{i}" for i in range(100 + b)] for b in range(2)]
+    texts = []
+    for i in range(160):
+        own = list(bases[i % 2])
+        for _ in range(draw.choice((0, 1, 1, 2, 2, 3))):
+            own[draw.randrange(len(own))] = draw.choice(("a", "b", f"own{i}"))
+        texts.append(" ".join(own[draw.choice((0, 0, 3)) :]))
+    sets = [{tuple(t.split()[j : j + 4]) for j in range(len(t.split()) - 3)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in prefix_join.similar_documents(table, 4, 85).collect()}
+    assert found == {i: find(i) for i in range(len(texts))}
+
+
 def test_links_lose_nothing_and_list_no_group(spark):
     rows = [(k, i) for k in range(3) for i in range(40)] + [(9, 3), (9, 77)]
     table = spark.createDataFrame(rows, "key long, id long").selectExpr("key", "id", "10 n", "9 rest")

@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.arrays import mixed, powers, slices
 from ledgerline.llm.arrays import _BASE, _INVERSE
-from ledgerline.llm.linking import bitmap, components, link, marked
+from ledgerline.llm.linking import bitmap, components, link, marked, maybe
 from ledgerline.llm.shipping import mapped
 from ledgerline.sources.landing import land
 
 BANDS, ROWS = 10, 4
 #: Characters in a shingle, and the similarity in hundredths.
 SHINGLE, PERCENT = 9, 80
+#: Leaders that a band's lines are checked against, one a round, before pairs are.
+LEADERS = 2
 
 #: Lines a task remembers to send their bands once.
 _REMEMBERED = 1 << 17
@@ -137,25 +139,41 @@ def occurrences(texts: DataFrame, k: int) -> DataFrame:
     return mapped(texts.select("doc_id", "tid", "text"), made, "doc_id long, tid long, place int, line long, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of line ids whose shingle sets are similar enough."""
-    pairs = land(pairs, "line_pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
+def line_texts(texts: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """line, words, n (size of its shingle set) of the lines in ids, from one pass over all texts."""
     sent = texts.sparkSession.sparkContext.broadcast(bitmap(ids))
 
     def wanted(batches):
         seen: set[int] = set()
         for batch in batches:
             for _, _, lines in _split(batch.column(0)):
-                found = line_ids(lines)
+                found, fresh = line_ids(lines), []
                 for i in np.flatnonzero(marked(sent.value, found)).tolist():
                     if (x := int(found[i])) not in seen:
                         seen.add(x)
-                        yield pa.RecordBatch.from_arrays([pa.array([x]), pa.array([lines[i]])], ["line", "words"])
+                        fresh.append(i)
                 if len(seen) > _REMEMBERED:
                     seen.clear()
+                if fresh:
+                    words = [lines[i] for i in fresh]
+                    yield pa.RecordBatch.from_arrays([pa.array(found[fresh]), pa.array(words), pa.array(set_sizes(words, k))], ["line", "words", "n"])
+
+    return mapped(texts.select("text"), wanted, "line long, words string, n int").dropDuplicates(["line"]).join(ids, "line", "left_semi")
+
+
+def set_sizes(lines: list[str], k: int) -> np.ndarray:
+    """How many different shingles each line has."""
+    line, hashes = _windows(*_values(lines), k)
+    order = np.lexsort((hashes, line))
+    line, hashes = line[order], hashes[order]
+    first = np.ones(len(line), bool)
+    first[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
+    return np.bincount(line[first], minlength=len(lines)).astype(np.int32)
+
 
-    found = land(mapped(texts.select("text"), wanted, "line long, words string").dropDuplicates(["line"]).join(ids, "line", "left_semi"), "wanted_lines")
+def verified(pairs: DataFrame, found: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of line ids whose shingle sets are similar enough; found: line and words."""
+    pairs, found = land(pairs, "line_pairs"), found.select("line", "words")
     both = pairs.join(found.toDF("a", "text_a"), "a").join(found.toDF("b", "text_b"), "b")
 
     def similar(batches):
@@ -180,9 +198,14 @@ def dropped_lines(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     """doc_id, tid, places (of lines that go), lines (how many it has) of documents that lose lines."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.xxhash64("text").alias("tid"), "text")
     lines = land(occurrences(texts, k), "lines")
-    keys = lines.where("size(bands) > 0").select("line", F.explode("bands").alias("key"))
-    rows = keys.select("key", F.col("line").alias("id"), F.lit(1).alias("n"), F.lit(1).alias("rest"))
-    roots = components(link(rows, lambda pairs: verified(pairs, texts, k, percent), percent)).toDF("line", "root")
+    keys = lines.where("size(bands) > 0").select(F.explode("bands").alias("key"), F.col("line").alias("id"))
+    met = keys.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y")).where("x <> y").select("key")
+    met = land(met, "met_bands")
+    # A line has its bands from each task that saw it: once is enough.
+    rows = land(maybe(keys, "key", met).join(met, "key").distinct(), "met_lines")
+    found = land(line_texts(texts, rows.select(F.col("id").alias("line")).distinct(), k), "line_texts")
+    rows = rows.join(found.select(F.col("line").alias("id"), "n"), "id").select("key", "id", "n", F.col("n").alias("rest"))
+    roots = components(link(rows, lambda pairs: verified(pairs, found, k, percent), percent, LEADERS)).toDF("line", "root")
     placed = lines.drop("bands").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line")).drop("line")
     named = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "tid", "place")
     firsts = placed.groupBy("root").agg(F.min(named).alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")

@@ -1,8 +1,8 @@
 """Links between records that share keys, found without listing the pairs of a group.
 
 ``link`` takes rows (key, id) and a check of candidate pairs. Each round names one leader a key, the
-member whose keys most others have, and checks the key's members against it only, so candidates grow
-with the rows. Checked links are joined into components, and keys whose members are all connected are
+member whose keys most others have (later one of another component), and checks the key's members against it only,
+so candidates grow with the rows. Checked links are joined into components, and keys whose members are all connected are
 done. Keys that a record shares with no other component bound what a pair can have in common; pairs
 that cannot reach the similarity any more are done too. Of the pairs that are left,
 each record's best few are checked first, which connects most of the others, then all that still lie
@@ -39,8 +39,7 @@ def components(links: DataFrame) -> DataFrame:
     number of links is split over tasks. The links of each step are landed.
     """
     links = land(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "links")
-    before = None
-    while True:
+    while not _are_stars(links):
         both = links.union(links.select("b", "a")).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
@@ -48,14 +47,16 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a")
         small = small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(small.select("a", F.col("m").alias("b")))
         links = land(small.distinct(), "links")
-        after = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if after == before:
-            break
-        before = after
     roots = links.groupBy("a").agg(F.min("b").alias("root")).withColumnRenamed("a", "id")
     return roots.union(links.select("b", "b").distinct().toDF("id", "root"))
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """Whether each id has one link down at most, and those that have one have none from above."""
+    ends = links.select(F.col("a").alias("id"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(links.select("b", F.lit(0), F.lit(1)))
+    return ends.groupBy("id").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def bitmap(ids: DataFrame) -> np.ndarray:
     """Bits of the ids (evenly spread hashes, one column), as a fixed-size array of 64-bit words."""
     place = F.shiftrightunsigned(F.col(ids.columns[0]), 64 - BIT_COUNT)
@@ -112,11 +113,15 @@ def _possible(percent: int) -> tuple[str, str]:
     return sizes, f"greatest(1, ceil({percent} * (n + lead.n) / {100 + percent}) - {first.format('rest')})"
 
 
-def _led(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of members and the leader of their keys that share enough of the keys it leads."""
+def _led(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b) of members and the leader of their keys that lie in different components and share enough of the keys it leads.
+
+    In the first turn the leader is the member whose keys most others have, later that of a component picked by hash.
+    """
     sizes, need = _possible(percent)
-    central = F.max_by(F.struct(*_KNOWN), F.struct("score", F.negative("id")))
-    led = rows.join(rows.groupBy("key").agg(central.alias("lead")), "key").where("id <> lead.id").where(sizes)
+    picked = F.xxhash64("root", F.lit(turn)) if turn else F.lit(0)
+    central = F.max_by(F.struct(*_KNOWN, "root"), F.struct(picked, "score", F.negative("id")))
+    led = rows.join(rows.groupBy("key").agg(central.alias("lead")), "key").where("root <> lead.root").where(sizes)
     pairs = led.groupBy(F.greatest("id", "lead.id").alias("a"), F.least("id", "lead.id").alias("b"))
     return pairs.agg(F.count("*").alias("shared"), F.min(F.expr(need)).alias("need")).where("shared >= need").select("a", "b")
 
@@ -138,7 +143,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("need").alias("need")).where("shared >= need").drop("need")
 
 
-def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int, leaders: int = 1) -> DataFrame:
     """Links (a, b) whose components are those of all pairs that share enough keys and pass the check.
 
     rows: key long, id long, n int (size of the record's set), rest int (elements of the set that come
@@ -147,13 +152,20 @@ def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int)
     that are linked. Of the record whose keys end first, all shared elements up to there are shared
     keys and at most its ``rest`` can follow. So a pair that reaches the similarity shares the overlap
     it needs less that ``rest``, and others are not checked; neither are sizes too far apart.
+    leaders: rounds with one leader a key. The links returned join each id to its component.
     """
     if "last" not in rows.columns:
         rows = rows.withColumn("last", F.lit(0).cast("long"))
     rest = _crossing(rows.withColumn("root", F.col("id")))
-    links = land(check(_led(rest, percent)), "linked")
-    placed = rest.select("key", "id", "n", "rest", "last").join(components(links), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    pairs = land(_across(_crossing(placed), percent), "pairs_across")
+    links = land(check(_led(rest, percent, 0)), "linked")
+    for turn in range(1, leaders + 1):
+        roots = components(links)
+        links = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        placed = rest.select("key", "id", "n", "rest", "last").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rest = _crossing(placed)
+        if turn < leaders:
+            links = links.union(land(check(_led(rest, percent, turn)), "linked"))
+    pairs = land(_across(rest, percent), "pairs_across")
     for _ in range(ROUNDS):
         one = pairs.select(F.col("a").alias("id"), F.col("b").alias("other"), "shared")
         both = one.union(pairs.select("b", "a", "shared"))
@@ -164,8 +176,9 @@ def link(rows: DataFrame, check: Callable[[DataFrame], DataFrame], percent: int)
         found = land(check(best), "linked")
         if found.isEmpty():
             break
-        links = links.union(found)
-        pairs = land(_split(pairs, components(links)), "pairs_across")
+        roots = components(links.union(found))
+        links = roots.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        pairs = land(_split(pairs, roots), "pairs_across")
     return links.union(land(check(pairs.select("a", "b")), "linked"))
 
 

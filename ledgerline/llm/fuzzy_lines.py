@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.text import strip
 from ledgerline.llm.arrays import mixed, powers, slices
 from ledgerline.llm.arrays import _BASE, _INVERSE
 from ledgerline.llm.linking import bitmap, components, link, marked, maybe
@@ -213,12 +214,25 @@ def dropped_lines(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) ->
     return gone.groupBy("doc_id", "tid").agg(F.collect_set("place").alias("places"))
 
 
+def once_each(docs: DataFrame) -> DataFrame:
+    """docs with one row of those alike in doc_id and text; rows without lines all stay.
+
+    All lines of a repeated row stand in the row before. Only rows that are repeated are shuffled with their texts.
+    """
+    tid = F.xxhash64(F.coalesce("text", F.lit("")))
+    keys = docs.where(strip(F.col("text")) != "").select(F.col("doc_id").cast("long").alias("again_id"), tid.alias("again_tid"))
+    again = land(keys.groupBy("again_id", "again_tid").count().where("count > 1").drop("count"), "repeated_rows")
+    rule = (tid == F.col("again_tid")) & F.col("doc_id").cast("long").eqNullSafe(F.col("again_id"))
+    repeated = docs.join(again, rule).dropDuplicates(["again_id", "again_tid"])
+    return docs.join(again, rule, "left_anti").union(repeated.select([F.col(f"`{c}`") for c in docs.columns]))
+
+
 def without_repeats(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs with one line of each component left; n_chars, if there, follows the text. Columns are those of docs."""
     gone = dropped_lines(docs, k, percent).toDF("gone_id", "gone_tid", "gone_places")
     tid = F.xxhash64(F.coalesce("text", F.lit("")))
     rule = (tid == F.col("gone_tid")) & F.col("doc_id").cast("long").eqNullSafe(F.col("gone_id"))
-    joined = docs.join(gone, rule, "left").drop("gone_id", "gone_tid")
+    joined = once_each(docs).join(gone, rule, "left").drop("gone_id", "gone_tid")
     at, names = docs.columns.index("text"), docs.columns
     count = names.index("n_chars") if "n_chars" in names else None
 

@@ -212,6 +212,18 @@ def test_fuzzy_lines(spark, docs, empty):
     assert fuzzy_lines.without_repeats(empty).count() == 0
 
 
+def test_fuzzy_lines_of_repeated_rows(spark):
+    """Rows alike in doc_id and text stay once, those with a null doc_id and those without lines included."""
+    a, b = words(21, 30), words(22, 30)
+    rows = [(7, "tail")] * 3 + [(8, f"{a}\n{b}")] * 40 + [(8, b), (9, a + "!"), (None, "loose")] + [(None, "loose")] * 2 + [(5, " \n\u2003"), (5, " \n\u2003"), (4, None), (4, None), (3, ""), (3, "")]
+    table = spark.createDataFrame([(i, t, len(t or ""), n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n_chars long, own int").repartition(5)
+    got = sorted(((r["doc_id"], r["text"]) for r in fuzzy_lines.without_repeats(table).collect()), key=str)
+    want = [(7, "tail"), (8, f"{a}\n{b}"), (None, "loose"), (5, " \n\u2003"), (5, " \n\u2003"), (4, None), (4, None), (3, ""), (3, "")]
+    # b stands in two texts of document 8: the one with the smaller hash is the first.
+    kept_b = [(8, a), (8, b)]
+    assert got in (sorted(want, key=str), sorted([w for w in want if w[0] != 8] + kept_b, key=str))
+
+
 def test_signatures_follow_similarity():
     draw, met, alike = random.Random(5), 0, 0
     for i in range(150):

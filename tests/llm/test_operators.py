@@ -224,6 +224,27 @@ def test_fuzzy_lines_of_repeated_rows(spark):
     assert got in (sorted(want, key=str), sorted([w for w in want if w[0] != 8] + kept_b, key=str))
 
 
+def test_fuzzy_short_lines(spark):
+    """Lines of 30 to 90 characters with one character or one word changed, against brute force."""
+    draw, lines = random.Random(9), []
+    for i in range(90):
+        base = "".join(words(900 + i, 20))[: 30 + draw.randrange(61)].strip()
+        at, own = draw.randrange(1, len(base) - 1), base.split(" ")
+        own[draw.randrange(len(own))] = draw.choice(("a", "tree", "winter"))
+        lines += [base, base[:at] + "#" + base[at + 1 :], " ".join(own)]
+    lines = list(dict.fromkeys(lines))
+    of, root = [shingle_set(x) for x in lines], list(range(len(lines)))
+    for i in range(len(lines)):
+        for j in range(i):
+            if 100 * len(of[i] & of[j]) >= 80 * len(of[i] | of[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    edited = [i for i in range(len(lines)) if "#" in lines[i] and len(lines[i]) >= 40]
+    assert len(edited) > 50 and sum(root[i] != i for i in edited) >= 0.8 * len(edited)
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in fuzzy_lines.without_repeats(table).collect()) == sorted(set(root))
+
+
 def test_signatures_follow_similarity():
     draw, met, alike = random.Random(5), 0, 0
     for i in range(150):

@@ -351,6 +351,41 @@ def test_main_text(spark):
     assert main_text.main_texts(table.where("false")).count() == 0
 
 
+def test_main_text_of_hosts_without_articles(spark):
+    """A passage on two pages of a large host goes wherever they lie; copies of a page keep their text; hosts are apart."""
+    passage, filler = words(700, 20), "<script>" + "x" * 1_000_000 + "</script>"
+    rows = [(i, f"http://large.example/{i}", f"{filler}<div>{words(800 + i, 20)}</div>") for i in range(24)]
+    rows += [(100 + i, f"http://large.example/p{i}", f"<div>{passage}</div><div>{words(900 + i, 20)}</div>") for i in range(4)]
+    rows += [(200 + i, f"http://copies.example/{i}", f"<p>{passage}</p><p>{words(950, 20)}</p>") for i in range(3)] + [(200, "http://copies.example/0", f"<p>{passage}</p><p>{words(950, 20)}</p>")]
+    rows += [(300, "http://mixed.example/a", f"<article>{passage}</article>"), (301, "http://mixed.example/b", f"<div>{passage}</div><div>{words(960, 20)}</div>")]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["text"]) for r in main_text.main_texts(table).collect())
+    want = [(i, words(800 + i, 20)) for i in range(24)] + [(100 + i, words(900 + i, 20)) for i in range(4)]
+    want += [(i, f"{passage}\n{words(950, 20)}") for i in (200, 200, 201, 202)] + [(300, passage), (301, words(960, 20))]
+    assert got == want
+
+
+def test_page_runs_agree_with_the_plain_version():
+    draw = random.Random(8)
+    pages = [["".join(" " * bool(n) + draw.choice(("a", "bb", "é😀")) for n in range(draw.randrange(1, 14))) for _ in range(draw.randrange(1, 5))] for _ in range(30)]
+    found = [main_text.page_runs(p, -7) for p in pages]
+    seen = {}
+    for i, (hashes, _, _) in enumerate(found):
+        for h in hashes.tolist():
+            seen.setdefault(h, set()).add(i)
+    tokens, of, covered = [], [], []
+    for i, (p, (hashes, at, lengths)) in enumerate(zip(pages, found)):
+        own = " ".join(p).split(" ")
+        assert list(lengths) == [len(t.split(" ")) for t in p]
+        marks = [False] * len(own)
+        for h, a in zip(hashes.tolist(), at.tolist()):
+            if len(seen[h]) > 1:
+                marks[a : a + main_text.RUN] = [True] * main_text.RUN
+        tokens, of, covered = tokens + own, of + [i] * len(own), covered + marks
+    ids = np.unique(tokens, return_inverse=True)[1]
+    assert any(covered) and not all(covered) and (main_text.repeated(ids, np.array(of)) == np.array(covered)).all()
+
+
 def test_repeated_runs():
     draw = random.Random(4)
     pages = [[draw.randrange(6) for _ in range(draw.randrange(1, 60))] for _ in range(12)]

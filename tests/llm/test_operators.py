@@ -351,6 +351,32 @@ def test_main_text(spark):
     assert main_text.main_texts(table.where("false")).count() == 0
 
 
+def kept_text(html):
+    return [t for _, t in main_text.blocks(html)]
+
+
+@pytest.mark.parametrize("name", ["related-work", "social-impact", "sharing-data", "login-flow", "related", "comments"])
+def test_headings_keep_their_ids(name):
+    assert kept_text(f'<article><h2 id="{name}">A heading</h2><p id="{name}">Text</p></article>') == ["A heading", "Text"]
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "with-banner", "related-work", "content-with-menu", "with-fixed-header"])
+def test_layout_wrappers_are_not_left_out(name):
+    assert kept_text(f'<div class="layout {name}"><article><p>Text</p></article></div>') == ["Text"]
+
+
+@pytest.mark.parametrize("name", ["ad", "adSlot2", "ad-300x250", "cookie-notice", "social-share", "comment-list", "related-posts", "sidebar left"])
+def test_names_are_left_out(name):
+    assert kept_text(f'<article><div class="{name}"><p>Gone</p></div><p>Text</p></article>') == ["Text"]
+
+
+def test_articles_in_left_out_wrappers():
+    inner = (main_text.INNER, "Text")
+    assert main_text.blocks('<div class="sidebar">Gone<article><p>Text</p><div class="ad">Buy</div></article></div>') == [inner]
+    assert main_text.blocks('<div id="banner"><main><article><p>Text</p></article></main></div>') == [inner]
+    assert kept_text('<div id="comments"><article class="reply"><p>Gone</p></article></div><aside><article>Gone</article></aside><div hidden><main>Gone</main></div>') == []
+
+
 def test_main_text_of_hosts_without_articles(spark):
     """A passage on two pages of a large host goes wherever they lie; copies of a page keep their text; hosts are apart."""
     passage, filler = words(700, 20), "<script>" + "x" * 1_000_000 + "</script>"

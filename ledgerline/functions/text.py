@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from ledgerline.functions.rules import MISSING
+
 # Everything a text strip removes: ASCII and Unicode white space.
 WHITE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680"
@@ -83,6 +85,16 @@ def csv_value(field: Column) -> Column:
 
 
 def as_number(text: Column) -> Column:
-    """Typed sibling of a raw number text: thousands separators gone, null when not a number."""
+    """Typed sibling of a raw number text, decimal(38,6): thousands separators gone, null when not a number.
+
+    A sign and a fraction may stand: 32 digits before the point and 6 behind it, zeros aside. A longer
+    number is null, not cut, and so is the mark of what could not be split.
+    """
     bare = F.replace(strip(text), F.lit(","), F.lit(""))
-    return F.when(bare.rlike(r"^\d{1,20}$"), bare.cast("decimal(20,0)"))
+    exact = bare.rlike(r"^[+-]?(?:\d+(?:\.\d{0,6}0*)?|\.\d{1,6}0*)$") & (strip(text) != MISSING)
+    return F.when(exact, bare.try_cast("decimal(38,6)"))
+
+
+def unparsed(text: Column) -> Column:
+    """Whether a text that is not blank has no number."""
+    return (F.coalesce(strip(text), F.lit("")) != "") & as_number(text).isNull()

@@ -10,7 +10,7 @@ from ledgerline.functions.keys import cik_of, date_of
 from ledgerline.functions.rules import (
     FILING_URL, HEADER_CLOSE, HEADER_KEYS, HEADER_OPEN, RULES, TOTAL_RULES, VALUE_TOTAL, java,
 )
-from ledgerline.functions.text import WHITE, as_number, once, strip
+from ledgerline.functions.text import WHITE, as_number, once, strip, unparsed
 from ledgerline.operators.chunks import CHUNK_LINES, carry_forward, chunk_of, over_chunks
 from ledgerline.operators.merge import typed
 from ledgerline.sources.landing import land
@@ -203,10 +203,11 @@ def with_header(headers: DataFrame, stock: DataFrame) -> DataFrame:
 
 
 def reconciled(headers: DataFrame, stock: DataFrame) -> DataFrame:
-    """Reported against extracted totals per filing."""
+    """Reported against extracted totals per filing; n_unparsed values are no numbers and not in value_found."""
     found = typed(stock).groupBy(F.col("filename").alias("file")).agg(
         F.count(F.lit(1)).alias("n_found"),
-        F.sum("value_num").cast("decimal(38,0)").alias("value_found"),
+        F.try_sum("value_num").alias("value_found"),
+        F.count_if(unparsed(F.col("value"))).alias("n_unparsed"),
     )
     entry = "form_13f_information_table_entry_total_num"
     value = "form_13f_information_table_value_total_num"
@@ -219,6 +220,7 @@ def reconciled(headers: DataFrame, stock: DataFrame) -> DataFrame:
         "value_reported",
         F.coalesce("n_found", F.lit(0)).alias("n_found"),
         "value_found",
+        F.coalesce("n_unparsed", F.lit(0)).alias("n_unparsed"),
         (F.col("n_reported") == F.coalesce("n_found", F.lit(0))).alias("entries_agree"),
         (F.col("value_reported") == F.col("value_found")).alias("values_agree"),
     )

@@ -116,16 +116,21 @@ def sentinel_skip(c):
     )
 
 
+def _whole(name):
+    """A number as its SQL has it, a bigint: null, not cut, where it is none."""
+    return F.when(F.col(name) == F.floor(name), F.col(name).try_cast("bigint")).alias(name)
+
+
 def header_totals(c):
     totals = [hdr.column_of(total) for total in hdr.TOTAL_RULES]
-    numbers = [F.col(name + "_num").cast("bigint").alias(name + "_num") for name in totals]
+    numbers = [_whole(name + "_num") for name in totals]
     return hdr.typed_headers(_headers(c)).select("file", *totals, *numbers)
 
 
 def totals_reconciled(c):
-    table = hdr.reconciled(_headers(c), _stock(c))
+    table = hdr.reconciled(_headers(c), _stock(c)).drop("n_unparsed")
     numbers = ("n_reported", "value_reported", "value_found")
-    return table.withColumns({name: F.col(name).cast("bigint") for name in numbers})
+    return table.withColumns({name: _whole(name) for name in numbers})
 
 
 def _index_of(c):
@@ -207,8 +212,7 @@ OPERATORS: dict[str, Callable[[Corpus], DataFrame]] = {
     "merged_option": lambda c: mrg.option_candidates(_stock(c)),
     "merged_option_def": lambda c: mrg.definite_options(_stock(c)),
     "merged_typed": lambda c: mrg.typed(_stock(c)).select(
-        "filename", "line_no", F.col("value_num").cast("bigint").alias("value_num"),
-        F.col("shares_num").cast("bigint").alias("shares_num"), "filed_on"),
+        "filename", "line_no", _whole("value_num"), _whole("shares_num"), "filed_on"),
     "merged_as_written": lambda c: mrg.as_written(_stock(c)),
     "option_audit": lambda c: (lambda e: mrg.option_audit(e, holdings(e)))(_eligible(c)),
     "header_region": lambda c: hdr.header_region(c.lines()).select("file_id", "line_no", "in_header"),

@@ -16,6 +16,7 @@ from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
 from ledgerline.llm.prefix_tree import CLOSE, END, OPEN, digests
 from ledgerline.llm.syncmers import edited_pairs, likeness
+from ledgerline.llm.token_files import through_files
 from ledgerline.llm.warc import archived
 
 
@@ -25,6 +26,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 #: The public byte-level vocabulary of the contract.
 VOCABULARY = "byte_bpe_50k.json"
+#: The public vocabulary with word ends.
+WORD_VOCABULARY = "word_bpe_49k.json"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -106,6 +109,11 @@ def op10_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar_documents(_table(spark, folder, "documents").select("doc_id", "text"), 4, 85)
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents from token files: their place, count and checksum of ids, an end id included."""
+    return through_files(_table(spark, folder, "documents"), vocabulary_path(WORD_VOCABULARY))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

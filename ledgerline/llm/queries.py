@@ -15,9 +15,12 @@ from ledgerline.llm.main_text import main_texts
 from ledgerline.llm.mixing import mixed
 from ledgerline.llm.prefix_join import similar_documents
 from ledgerline.llm.prefix_tree import CLOSE, END, OPEN, digests
+from ledgerline.llm.spellings import variants, vocabulary
 from ledgerline.llm.syncmers import edited_pairs, likeness
 from ledgerline.llm.token_files import through_files
+from ledgerline.llm.vector_codes import coded
 from ledgerline.llm.warc import archived
+from ledgerline.sources.landing import land
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -114,6 +117,16 @@ def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return through_files(_table(spark, folder, "documents"), vocabulary_path(WORD_VOCABULARY))
 
 
+def op12_spellings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of at least 7 letters with the form they are a spelling of, and where forms lead to."""
+    return variants(land(vocabulary(_table(spark, folder, "documents")), "vocabulary"))
+
+
+def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors as 16 entry numbers, with what they miss and the digest of the codebooks."""
+    return coded(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

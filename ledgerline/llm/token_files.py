@@ -15,8 +15,9 @@ Documents are dealt by ranges of (key, hash of the text, place in the input), so
 rows is spread too, and sorted by these inside a task, which starts a new shard whenever one is full.
 A repeated task writes files of other names, and the manifest names those of accepted attempts alone.
 
-Texts are cut at ASCII white space, and each distinct word is encoded by the tokenizers library; a
-tokenizer for which that is not the same as encoding the whole text is refused (``splits_at_space``).
+Texts are cut at ASCII white space, and words are encoded by the tokenizers library, which is asked
+once for what recurs; a tokenizer for which that is not the same as encoding the whole text is refused
+(``splits_at_space``).
 
 Null texts are empty; every document ends with the end id. Rows of one key stand in the order of their
 texts' hashes, rows alike in any order. An empty table has no shards. Other columns are not looked at.
@@ -25,13 +26,17 @@ texts' hashes, rows alike in any order. An empty table has no shards. Other colu
 from __future__ import annotations
 
 import json
+import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,9 +48,11 @@ from ledgerline.sources.landing import fresh_path, land
 #: A shard is closed when its ids have so many bytes or it has so many documents.
 SHARD_BYTES = 256 << 20
 SHARD_DOCS = 1 << 22
-#: Words whose ids a worker keeps, and the bytes of the longest of them; when they are so many it starts anew.
-KEPT_WORDS = 1 << 18
+#: Words and pieces of words whose ids a worker keeps (twice), and the length of the longest of them.
+KEPT_WORDS, KEPT_PIECES = 3 << 17, 3 << 17
 KEPT_LENGTH = 64
+#: Below are Latin letters whose case, composition and classes are the same in all versions of Unicode.
+SIMPLE = "\u0250"
 #: Shards whose bases are summed in one task.
 SUMMED = 1024
 #: Tasks that read shards back, at most.
@@ -70,11 +77,35 @@ def splits_at_space(content: str) -> bool:
     parts = cut[0]["pattern"]["Regex"].split("|") if cut else []
     inner = all(p.startswith("'") or p in (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+") for p in parts)
     prefixed = any(s.get("add_prefix_space") for s in steps)
-    return bool(cut) and plain and inner and not prefixed and not model["post_processor"]
+    byte_level = [s.get("type") for s in steps] == ["Split", "ByteLevel"] and not steps[1].get("use_regex")
+    return bool(cut) and plain and inner and byte_level and not prefixed and not model["post_processor"] and bool(model["normalizer"])
 
 
-class Words(dict):
-    """Maps a word (UTF-8 bytes) to its ids as little-endian bytes; missing words are encoded and kept."""
+class Kept(dict):
+    """What was made for recent keys: at ``most`` keys those of a generation before are dropped, unless asked for since."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, key):
+        made = self.before.get(key)
+        if made is None:
+            made = self.make(key)
+        if len(key) <= KEPT_LENGTH:
+            if len(self) >= self.most:
+                self.before = self.copy()
+                self.clear()
+            self[key] = made
+        return made
+
+
+class Words:
+    """Encodes texts word by word through the library's normalizer, pattern and model.
+
+    Kept are the ids of words (UTF-8 bytes) and of the pieces that the pattern cuts words into, as
+    little-endian bytes. A word that is long, holds an added token or letters beyond Latin is encoded as
+    a text of its own.
+    """
 
     def __init__(self, content: str, end_id: int):
         from tokenizers import Tokenizer
@@ -84,20 +115,51 @@ class Words(dict):
         self.tokenizer.no_padding()
         largest = max(end_id, *self.tokenizer.get_vocab(with_added_tokens=True).values())
         self.kind = np.dtype("<u2" if largest < 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.kind).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        made = np.array(ids, self.kind).tobytes()
-        if len(word) <= KEPT_LENGTH:
-            if len(self) >= KEPT_WORDS:
-                self.clear()
-            self[word] = made
-        return made
+        self.end = self._bytes([end_id])
+        model = json.loads(content)
+        added = [t["content"] for t in model["added_tokens"]]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        normalizer = model["normalizer"] or {}
+        steps = [n["type"] for n in normalizer.get("normalizers", [normalizer]) if n]
+        # Letters below SIMPLE are only lowered by these steps, and the pattern means the same there to every library.
+        simple = steps == ["NFC", "Replace", "Lowercase"] and not any(t.isalpha() for t in added)
+        self.pattern = regex.compile(model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) if simple else None
+        letters = bytes_to_letters()
+        self.letters = {byte: letters[byte] for byte in range(256)}
+        self.pieces = Kept(self._piece, KEPT_PIECES)
+        self.words = Kept(self._word, KEPT_WORDS)
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        made = array("H" if self.kind.itemsize == 2 else "I", ids)
+        if sys.byteorder == "big":
+            made.byteswap()
+        return made.tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        return self._bytes([t.id for t in self.tokenizer.model.tokenize(spelled)])
+
+    def _word(self, raw: bytes) -> bytes:
+        word = raw.decode("utf-8", "replace")
+        if len(raw) <= KEPT_LENGTH:
+            if self.pattern and (word.isascii() or max(word) < SIMPLE):
+                low = word.lower()
+                if low.isalpha():
+                    return self.pieces[low]
+                if word.isprintable() and not self.added.search(word):
+                    return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low)))
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def encoded(self, text: bytes) -> bytes:
         """The ids of one text and the end id; bytes.split() cuts at ASCII white space."""
-        return b"".join(map(self.__getitem__, text.split())) + self.end
+        return b"".join(map(self.words.__getitem__, text.split())) + self.end
+
+
+def bytes_to_letters() -> list[str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary: itself, or the next one from U+0100 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(byte) if byte in printable else chr(next(others)) for byte in range(256)]
 
 
 @lru_cache(2)

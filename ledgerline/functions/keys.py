@@ -1,4 +1,8 @@
-"""The key of a filing, packed in its file name as ``cik_date_ext``."""
+"""The key of a filing: its period folder and its file name, which packs ``cik_date_ext``.
+
+A name alone is not unique: it holds neither the filer's prefix nor the year of the accession number.
+Files of one name in two period folders are two filings.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +11,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerline.functions.text import without_zeros
 
 
+# A folder that holds the filings of one period.
+PERIOD_FOLDER = r"^rawdata_\d{4}_QTR\d$"
+
+
 def file_id_of(path: Column) -> Column:
-    """Base name of a path without its extension."""
-    return F.regexp_replace(F.substring_index(path, "/", -1), r"(.)\.[^.]*$", "$1")
+    """Base name of a path without its extension, behind its folder if that is one period's."""
+    name = F.regexp_replace(F.substring_index(path, "/", -1), r"(.)\.[^.]*$", "$1")
+    folder = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    return F.when(folder.rlike(PERIOD_FOLDER), F.concat_ws("/", folder, name)).otherwise(name)
+
+
+def name_of(file_id: Column) -> Column:
+    """The file name in a key, without folder and extension."""
+    return F.substring_index(file_id, "/", -1)
 
 
 def cik_of(file_id: Column) -> Column:
-    return F.substring_index(file_id, "_", 1)
+    return F.substring_index(name_of(file_id), "_", 1)
 
 
 def date_of(file_id: Column) -> Column:
-    return F.substring_index(F.substring_index(file_id, "_", 2), "_", -1)
+    return F.substring_index(F.substring_index(name_of(file_id), "_", 2), "_", -1)
 
 
 def file_key(files: DataFrame) -> DataFrame:
     """Unpack ``file_id`` into cik, filed_on and ext; names without exactly three parts go."""
-    parts = F.split("file_id", "_")
+    parts = F.split(name_of(F.col("file_id")), "_")
     return files.filter(F.size(parts) == 3).select(
         "file_id",
         F.get(parts, 0).alias("cik"),
@@ -48,3 +63,15 @@ def local_key(index: DataFrame) -> DataFrame:
         F.concat(F.lit("rawdata_"), F.col("year").cast("string"), F.lit("_QTR"),
                  F.col("quarter").cast("string")).alias("folder"),
     )
+
+
+def identities(index: DataFrame) -> DataFrame:
+    """Local key and accession of every index row, and how many accessions share the local key in its folder.
+
+    A key with ``n_same`` over 1 names several filings; the accession tells them apart.
+    """
+    keyed = local_key(index)
+    same = keyed.groupBy("folder", "local_key").agg(F.count_distinct("accession").alias("n_same"))
+    return keyed.join(same, ["folder", "local_key"]).select(
+        "year", "quarter", "accession", "local_key", F.concat_ws("/", "folder", "local_key").alias("file_id"), "n_same"
+    )

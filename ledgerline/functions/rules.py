@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
+from ledgerline.functions.patterns import check_rule
+
 # The matching rules, all applied ignoring case.
 RULES = {
     "CUSIP": r"(?P<cusip>[A-Z0-9]{9}|[A-Z0-9]{5,8}(?:\s|\d|\w)?|[A-Z0-9]{5,6}[-\s][A-Z0-9]{2}[-\s][A-Z0-9])",
@@ -53,18 +57,23 @@ FORM_TYPES = ["13F-HR", "13F-HR/A", "13F-NT", "13F-NT/A"]
 
 
 def java(pattern: str) -> str:
-    """A rule as Spark's regex functions expect it: Java group names, case ignored."""
-    return "(?i)" + pattern.replace("(?P<", "(?<")
+    """A rule as Spark's regex functions expect it: Java group names, case ignored, lines ended by \\n alone."""
+    flags = "(?id)" if re.search(r"[.$^]", re.sub(r"\\.|\[\^", "", pattern)) else "(?i)"
+    return flags + pattern.replace("(?P<", "(?<")
 
 
 def load_rules(spark: SparkSession, path: str) -> dict[str, str]:
     """Read a user's rule table (columns Type, Pattern) and lay it over the built-in rules.
 
     The table is configuration of a few rows; it becomes literals in the plan, because
-    a literal pattern is compiled once per task and a joined column once per row.
+    a literal pattern is compiled once per task and a joined column once per row. A rule that
+    Java would read otherwise, or that could take a line exponential time, is a ``RuleError``.
     """
     table = (
         spark.read.schema("Type STRING, Pattern STRING")
         .csv(path, header=True, enforceSchema=False, escape='"')
     )
-    return RULES | {row["Type"]: row["Pattern"] for row in table.collect()}
+    own = {row["Type"]: row["Pattern"] or "" for row in table.collect()}
+    for name, pattern in own.items():
+        check_rule(name, pattern)
+    return RULES | own

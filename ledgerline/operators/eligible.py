@@ -11,6 +11,8 @@ from ledgerline.sources.landing import fits, land
 
 # A key has at most 9 characters: 2 million of them stay well under half a gigabyte hashed.
 BROADCAST_KEYS = 2_000_000
+# The bits of accepted lines, as they are on disk and about twice as much hashed.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def is_skipped(line: Column, rules: dict[str, str] = RULES) -> Column:
@@ -115,25 +117,56 @@ def eligible_rows(
     )
 
 
+def accepted_bits(eligible: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """``(file_id, chunk, bits)``: which lines of a chunk are accepted, 64 lines in a number.
+
+    One row per chunk that has any, of some 8 bytes for each 64 lines up to the last accepted one.
+    """
+    place = F.pmod("line_no", F.lit(chunk_lines)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(place, F.lit(64)))
+    words = eligible.groupBy("file_id", "chunk", F.floor(place / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits"))
+    per_chunk = words.groupBy("file_id", "chunk").agg(
+        F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("found"), F.max("word").alias("last")
+    )
+    filled = F.transform(
+        F.sequence(F.lit(0), F.col("last")),
+        lambda word: F.coalesce(F.try_element_at("found", word), F.lit(0).cast("bigint")),
+    )
+    return per_chunk.select("file_id", "chunk", filled.alias("bits"))
+
+
+def placed(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> Column:
+    """The chunk of a line: its column, where lines were dealt by it, else computed."""
+    return F.col("chunk") if "chunk" in lines.columns else chunk_of("line_no", chunk_lines).alias("chunk")
+
+
 def remainder_lines(
-    lines: DataFrame, eligible: DataFrame, rules: dict[str, str] = RULES, chunk_lines: int = CHUNK_LINES
+    lines: DataFrame, eligible: DataFrame, rules: dict[str, str] = RULES, chunk_lines: int = CHUNK_LINES,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every line without an accepted identifier, for audit.
 
     Skipped lines stay as they are, the others appear as they were searched, without dashes.
-    Both sides are keyed by chunk, so the lines of a huge filing spread over many tasks.
+    No text is moved to find out: a chunk's accepted lines come to its text as one small row of
+    bits. These are broadcast if their measured size allows it; else they are dealt by chunk, and
+    lines that lie so already (``land_by_chunk``) stay where they are. Lines of any other table
+    are dealt by chunk then, so those of a huge filing spread over many tasks.
     """
     line = strip_right(F.col("line"))
     text = lines.select(
         "file_id",
-        chunk_of("line_no", chunk_lines).alias("chunk"),
+        placed(lines, chunk_lines),
         "line_no",
         F.when(is_skipped(line, rules), line).otherwise(without_dashes(line)).alias("line"),
     )
-    found = eligible.select("file_id", "chunk", "line_no")
-    return text.join(found, ["file_id", "chunk", "line_no"], "left_anti").select(
-        "file_id", "line_no", "line"
-    )
+    bits = land(accepted_bits(eligible, chunk_lines), "accepted")
+    size = bits.agg(F.sum(F.size("bits") * 8 + F.octet_length("file_id") + 64)).first()[0] or 0
+    found = F.broadcast(bits) if size <= broadcast_bytes else bits.hint("shuffle_hash")
+    place = F.pmod("line_no", F.lit(chunk_lines)).cast("int")
+    accepted = F.getbit(F.get("bits", F.floor(place / 64).cast("int")), F.pmod(place, F.lit(64))) == 1
+    return text.join(found, ["file_id", "chunk"], "left").filter(
+        ~F.coalesce(accepted, F.lit(False))
+    ).select("file_id", "line_no", "line")
 
 
 def coverage(lines: DataFrame, eligible: DataFrame, remainder: DataFrame) -> DataFrame:

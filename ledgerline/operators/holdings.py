@@ -10,6 +10,8 @@ from ledgerline.functions.rules import (
 from ledgerline.functions.text import csv_fields, csv_value, strip
 from ledgerline.operators.chunks import over_chunks
 from ledgerline.operators.layout import IGNORED, cut_positions, profile, split_on_id
+from ledgerline.operators.quotes import over_lines
+from ledgerline.sources.landing import land
 
 # How value and shares follow the identifier.
 TAB_PAIR = r"\d+\t+\d+"
@@ -76,7 +78,7 @@ def _searched(lines: DataFrame, rules: dict[str, str], split_on_tab: bool) -> Da
 
 def holdings(
     eligible: DataFrame, rules: dict[str, str] = RULES, split_on_tab: bool = False,
-    profiles: DataFrame | None = None,
+    profiles: DataFrame | None = None, quoted_lines: bool = False,
 ) -> DataFrame:
     """All holdings: file_id, line_no, layout and the eight columns.
 
@@ -88,11 +90,15 @@ def holdings(
     Fixed layout: name and type are cut at the first wide gap, else at the usual position; value
     and shares are two numbers apart, else cut at the usual position.
     Comma layout: fields by position, untrimmed, from lines of six fields or more; the first four
-    are name, identifier, value and shares, and the rest is joined.
+    are name, identifier, value and shares, and the rest is joined. With ``quoted_lines`` a quote
+    left open runs on into the filing's next lines, which then are one line under its number.
     """
     split = split_on_id(eligible)
     if profiles is None:
         profiles = profile(cut_positions(split))
+    if quoted_lines:
+        profiles = land(profiles, "profiles")
+        split = split_on_id(over_lines(eligible, profiles))
     cuts = over_chunks(
         profiles.filter(F.col("layout").isin("tab", "csv", "fixed"))
         .select("file_id", "last_chunk", "layout", "tab_cut", "name_cut", "value_cut")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerline.functions.keys import cik_of, date_of
+from ledgerline.functions.keys import cik_of, date_of, name_of
 from ledgerline.functions.rules import (
     DEFINITE_OPTIONS, FALSE_OPTIONS, FLAG_BAD, FLAG_EMPTY, FLAG_FALSE, FLAG_SAME, FLAG_TRUE,
     LONGEST_NAME, MISSING, RULES, java,
@@ -64,9 +64,9 @@ def typed(stock: DataFrame) -> DataFrame:
 
 
 def as_written(stock: DataFrame) -> DataFrame:
-    """The published text form: 12 columns, True and False spelled out, no value for no flag."""
+    """The published text form: 12 columns, True and False spelled out, no value for no flag, names without folder."""
     return stock.select(
-        F.col("filename").alias("Filename"),
+        name_of(F.col("filename")).alias("Filename"),
         F.col("cik").alias("CIK"),
         F.col("date").alias("Date"),
         F.initcap(F.col("poss_hit").cast("string")).alias("Poss_hit"),

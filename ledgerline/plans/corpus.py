@@ -9,9 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.operators.chunks import CHUNK_LINES, number_rows
-from ledgerline.operators.dictionary import lookup_keys, security_dictionary
+from ledgerline.operators.dictionary import entity_ids, lookup_keys, security_dictionary
 from ledgerline.operators.index import parse_index
-from ledgerline.sources.landing import land
+from ledgerline.plans.run import curate, extract
+from ledgerline.sources.landing import fresh_path, land
+from ledgerline.sources.sinks import write_csv
+from ledgerline.streaming.arrivals import arriving_bundles, publish
+
+# Between the first and the last year of filings.
+MIDDLE_YEAR = 1995
 
 
 class Corpus:
@@ -21,6 +27,7 @@ class Corpus:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self._landed: dict[str, DataFrame] = {}
+        self._folders: dict[str, str] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -217,6 +224,54 @@ class Corpus:
         """The parsed index, landed by period."""
         return self._once("index", lambda: parse_index(self.index_lines()), ("year", "quarter"))
 
+    def _work(self, name: str, build) -> str:
+        """A folder that a piece of work fills, once per application."""
+        if name not in self._folders:
+            path = fresh_path(self.spark, name)
+            build(path)
+            self._folders[name] = path
+        return self._folders[name]
+
+    def published(self) -> str:
+        """The tables that two runs publish, the second over all filings; then the second once more."""
+        def build(folder):
+            lines, keys = self.lines(), self.keys()
+            extract(lines.filter(F.col("year") < MIDDLE_YEAR), keys, folder, commit="early")
+            extract(lines, keys, folder, commit="all")
+            extract(lines, keys, folder, commit="again")
+        return self._work("published", build)
+
+    def streamed(self) -> str:
+        """The tables that a stream of bundles of filings publishes, three batches or so."""
+        def build(folder):
+            bundles, tasks = fresh_path(self.spark, "bundles"), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            # A bundle holds whole filings, as a file does.
+            self.lines().select("file_id", "line_no", "line").repartition(tasks, "file_id").write.parquet(bundles)
+            arrivals = arriving_bundles(self.spark, bundles, maxFilesPerTrigger=tasks // 3 + 1)
+            publish(arrivals, self.keys(), folder, fresh_path(self.spark, "published-state"), lambda batch: batch)
+        return self._work("streamed", build)
+
+    def curated(self) -> str:
+        """The curated archive of the entities' filings, grown in two runs."""
+        def build(folder):
+            lines, entities = self.lines(), entity_ids(self.entities())
+            curate(lines.filter(F.col("year") < MIDDLE_YEAR), entities, folder)
+            curate(lines, entities, folder)
+        return self._work("curated", build)
+
+    def index_files(self) -> str:
+        """The quarterly index texts as files, a folder a period."""
+        def build(folder):
+            self.index_lines().select(F.col("line").alias("value"), "year", "quarter").hint("rebalance", "year", "quarter").write.partitionBy("year", "quarter").text(folder)
+        return self._work("index-files", build)
+
+    def reference_files(self) -> str:
+        """Security master and lists as CSV files with a heading."""
+        def build(folder):
+            for name, table in (("master", self.master()), ("a", self.list_a()), ("b", self.list_b())):
+                write_csv(table.toDF(*[column.upper() for column in table.columns]), f"{folder}/{name}")
+        return self._work("reference-files", build)
+
 
 _CORPORA: dict[tuple[str, str], Corpus] = {}
 

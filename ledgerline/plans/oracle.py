@@ -202,9 +202,9 @@ def _resolved(lines: str) -> dict[str, str]:
             from {p}words where upper(word) in (select key from dict) or upper(substr(word,1,6)) in (select key from dict))
           where r = 1""",
         p + "remainder": f"""
-          select file_id, line_no, case when skipped then raw else line end as line
-          from {p}texts_in t where not exists (
-            select 1 from {p}eligible e where e.file_id = t.file_id and e.line_no = t.line_no)""",
+          select t.file_id, t.line_no, case when skipped then raw else t.line end as line
+          from {p}texts_in t left join (select file_id, line_no, true as found from {p}eligible) e
+            on e.file_id = t.file_id and e.line_no = t.line_no where e.found is null""",
     }
 
 
@@ -401,6 +401,27 @@ QUERIES = {
       select file_id, line_no, cast(hits as int) as hits, hits + 1 >= {len(SCORED)} as passes from (select file_id, line_no,
         {' + '.join('cast(' + ' or '.join(f"regexp_matches({c}, {_q('(?i)' + r)})" for c in SCORED) + ' as int)' for r in SCORE_RULES)} as hits from holdings)""",
     "stream_ingest": "select * from doc_remainder",
+    "filing_identity": """
+      select year, quarter, accession, local_key, 'rawdata_'||year||'_QTR'||quarter||'/'||local_key as file_id,
+        count(*) over (partition by year, quarter, local_key) as n_same
+      from (select year, quarter, accession, ltrim(cik, '0')||'_'||filed_on||'_'||ltrim(cast(k + 1 as varchar), '0') as local_key from fx_filings)""",
+    "published_incremental": "select * from holdings",
+    "published_rerun": f"""
+      select 'eligible' as name, file_id, count(*) as n_rows from eligible group by file_id
+      union all select 'remainder', file_id, count(*) from remainder group by file_id
+      union all select 'layouts', file_id, 1 from fx_filings
+      union all select 'holdings', file_id, count(*) from holdings group by file_id
+      union all select 'option_audit', file_id, count(*) from (
+        select file_id from eligible where regexp_matches(line, {ANY}) union all select file_id from holdings where poss_hit) group by file_id
+      union all select 'stock', filename, count(*) from stock group by filename
+      union all select 'option', filename, count(*) from stock where poss_hit group by filename
+      union all select 'option_def', filename, count(*) from stock where upper(opt) in ('CALL', 'PUT') group by filename
+      union all select 'headers', file_id, 1 from fx_filings""",
+    "stream_published": "select * from holdings",
+    "stream_headers": "select * from headers",
+    "curated_archive": "select file_id, line_no, line from fx_lines where split_part(file_id, '_', 1) in (select cik from ents)",
+    "index_files": f"select {INDEX_COLS} from idx",
+    "reference_tables": "select key from dict",
 }
 
 

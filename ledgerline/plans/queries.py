@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.functions.keys import file_key, local_key
+from ledgerline.functions.keys import file_key, identities, local_key
 from ledgerline.functions.rules import RULES
 from ledgerline.operators import dictionary as dic
 from ledgerline.operators import eligible as eli
@@ -17,11 +18,14 @@ from ledgerline.operators import manifest as man
 from ledgerline.operators import merge as mrg
 from ledgerline.operators.holdings import holdings
 from ledgerline.plans.corpus import Corpus, corpus
-from ledgerline.sources.filings import lines_of
+from ledgerline.sources.commits import read_table
+from ledgerline.sources.filings import lines_of, read_index_lines
 from ledgerline.sources.landing import fresh_path, land
+from ledgerline.sources.tables import read_list_a, read_list_b, read_master
 from ledgerline.streaming.arrivals import ingest, lines_of_texts
 
 PERIOD_YEARS, PERIOD_QUARTERS = range(1996, 1999), (1, 2)
+PUBLISHED = ["eligible", "remainder", "layouts", "holdings", "option_audit", "stock", "option", "option_def", "headers"]
 SCORED = ["name", "type", "cusip", "value", "shares"]
 SCORE_RULES = [RULES["CUSIP"], RULES["Shprn"], RULES["Anyopt"], r"\d\d", r"[a-z] [a-z]"]
 
@@ -184,6 +188,27 @@ def stream_ingest(c):
     return spark.read.parquet(target).select("file_id", "line_no", "line")
 
 
+def _published(folder: str, c: Corpus, name: str) -> DataFrame:
+    return read_table(c.spark, folder, name).drop("commit", "year", "quarter")
+
+
+def published_rerun(c):
+    """How many rows each published table has of each filing."""
+    keys = {"headers": "file", "stock": "filename", "option": "filename", "option_def": "filename"}
+    counted = [
+        _published(c.published(), c, name).groupBy(F.col(keys.get(name, "file_id")).alias("file_id"))
+        .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), "file_id", "n_rows")
+        for name in PUBLISHED
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def reference_tables(c):
+    folder = c.reference_files()
+    return dic.security_dictionary(
+        read_master(c.spark, f"{folder}/master"), read_list_a(c.spark, f"{folder}/a"), read_list_b(c.spark, f"{folder}/b"))
+
+
 OPERATORS: dict[str, Callable[[Corpus], DataFrame]] = {
     "filing_lines": filing_lines,
     "file_key": lambda c: file_key(c.filings()),
@@ -236,6 +261,14 @@ OPERATORS: dict[str, Callable[[Corpus], DataFrame]] = {
     "row_pattern_score": lambda c: mrg.pattern_score(_holdings(c), SCORED, SCORE_RULES).select(
         "file_id", "line_no", "hits", "passes"),
     "stream_ingest": stream_ingest,
+    "filing_identity": lambda c: identities(_index_of(c)),
+    "published_incremental": lambda c: _published(c.published(), c, "holdings"),
+    "published_rerun": published_rerun,
+    "stream_published": lambda c: _published(c.streamed(), c, "holdings"),
+    "stream_headers": lambda c: _published(c.streamed(), c, "headers"),
+    "curated_archive": lambda c: _published(c.curated(), c, ""),
+    "index_files": lambda c: idx.parse_index(read_index_lines(c.spark, c.index_files())),
+    "reference_tables": reference_tables,
 }
 
 

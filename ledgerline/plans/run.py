@@ -3,57 +3,116 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructField, StructType
 
 from ledgerline.functions.keys import cik_of
 from ledgerline.functions.rules import RULES
-from ledgerline.operators.eligible import eligible_rows, remainder_lines
+from ledgerline.operators.chunks import over_chunks
+from ledgerline.operators.eligible import eligible_rows, placed, remainder_lines
 from ledgerline.operators.header import header_fields
 from ledgerline.operators.holdings import holdings
 from ledgerline.operators.layout import cut_positions, full_profile, profile, split_on_id
 from ledgerline.operators.manifest import not_yet, of_entities
 from ledgerline.operators.merge import merged, option_audit
-from ledgerline.sources.landing import land
-from ledgerline.sources.sinks import add_by_period, published, with_period, write_merged
+from ledgerline.sources.commits import BROADCAST_FILINGS, is_recorded, known, new_commit, record, with_period, write
+from ledgerline.sources.landing import fits, land, scope
+from ledgerline.sources.sinks import write_merged
 
+# The published tables, in the order in which they are written.
+TABLES = ["collisions", "eligible", "remainder", "layouts", "holdings", "option_audit", "stock", "option", "option_def", "headers"]
 
-def extract(lines: DataFrame, keys: DataFrame, folder: str, rules: dict[str, str] = RULES) -> None:
+
+def filings_of(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """``(file_id, n_lines, last_line, last_chunk, year, quarter)``: one row a filing; no text is read.
+
+    ``files(file_id)`` adds filings that have no line at all.
+    """
+    counted = lines.groupBy("file_id").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.max("line_no").cast("bigint").alias("last_line"), F.max(placed(lines)).alias("last_chunk")
+    )
+    if files is not None:
+        none = files.select("file_id").distinct().join(counted, "file_id", "left_anti")
+        counted = counted.unionByName(none.withColumns({"n_lines": F.lit(0), "last_line": F.lit(-1), "last_chunk": F.lit(0)}))
+    return with_period(counted)
+
+
+def _lines_of(lines: DataFrame, filings: DataFrame, others: DataFrame) -> DataFrame:
+    """The lines of some filings, of which ``others`` are all the rest.
+
+    The shorter list is broadcast if it is short enough, counted. Two long lists meet the lines by
+    chunk, so that a huge filing is no single task's.
+    """
+    if others.isEmpty():
+        return lines
+    if fits(others, BROADCAST_FILINGS):
+        return lines.join(F.broadcast(others.select("file_id")), "file_id", "left_anti")
+    if fits(filings, BROADCAST_FILINGS):
+        return lines.join(F.broadcast(filings.select("file_id")), "file_id", "left_semi")
+    chunks = over_chunks(filings.select("file_id", "last_chunk"))
+    columns = lines.columns
+    return lines.withColumn("chunk", placed(lines)).join(chunks, ["file_id", "chunk"], "left_semi").select(columns)
+
+
+def extract(
+    lines: DataFrame, keys: DataFrame, folder: str, rules: dict[str, str] = RULES,
+    commit: str | None = None, files: DataFrame | None = None,
+) -> None:
     """Add filings to the eligible, remainder, layouts, holdings, headers, audit and merged tables.
 
-    ``lines`` should be a landed table: it is read three times. Filings that the tables have already
-    are left out, and what is published is never read to compute anything else: each stage is landed
-    for this run and appended, filing by filing, so a run that broke off can be repeated.
+    ``lines(file_id, line_no, line)`` should be a landed table: it is read several times. ``files(file_id)``
+    names filings that may have no lines; they get a header and a layout row. A null key counts as empty.
+
+    The tables change at once, when all are written (``sources.commits``); read them with ``read_table``.
+    Filings that are published already are left out, which the log of keys decides: no published row is
+    read. A run under the id of a recorded ``commit`` does nothing, and one that broke off can be repeated.
+
+    A filing with more lines than their numbers allow is two files under one key. It is set aside in
+    ``collisions(file_id, n_lines, last_line)``, not logged, and taken when it comes alone.
     """
-    known = StructType([lines.schema["file_id"]])
-    fresh = not_yet(lines, published(lines.sparkSession, f"{folder}/headers", StructType([StructField("file", known[0].dataType)])).select(F.col("file").alias("file_id")))
-
-    def staged(table: DataFrame, name: str, key: str = "file_id") -> DataFrame:
-        made = land(with_period(table, key), name)
-        add_by_period(made, f"{folder}/{name}", key)
-        return made
-
-    fresh = land(fresh, "fresh")
-    files = fresh.select("file_id").distinct()
-    eligible = staged(eligible_rows(fresh, keys, rules), "eligible").drop("year", "quarter")
-    staged(remainder_lines(fresh, eligible, rules), "remainder")
-    profiles = land(profile(cut_positions(split_on_id(eligible))), "profiles")
-    staged(full_profile(files, profiles), "layouts")
-    rows = staged(holdings(eligible, rules, profiles=profiles), "holdings").drop("year", "quarter")
-    staged(option_audit(eligible, rows, rules).drop("year"), "option_audit")
-    write_merged(merged(rows), folder)
-    staged(header_fields(files, fresh), "headers", "file")  # last: names the filings that are done
-
-
-def curate(lines: DataFrame, entities: DataFrame, folder: str) -> None:
+    spark, commit = lines.sparkSession, commit or new_commit()
+    if is_recorded(spark, folder, commit):
+        return
+    lines = lines.withColumn("file_id", F.coalesce("file_id", F.lit("")))
+    with scope(spark):
+        filings = land(filings_of(lines, files), "filings")
+        done = land(known(spark, folder, filings), "known")
+        mixes = F.col("n_lines") > F.coalesce("last_line", F.lit(-1)) + 1
+        fresh, mixed = land(not_yet(filings.where(~mixes), done), "fresh"), land(not_yet(filings.where(mixes), done), "mixed")
+        if fresh.isEmpty() and mixed.isEmpty():
+            return
+        own = _lines_of(lines, fresh, land(not_yet(filings, fresh), "others"))
+
+        def staged(table: DataFrame, name: str, key: str = "file_id") -> DataFrame:
+            return write(with_period(table, key), folder, name, commit)
+
+        if not mixed.isEmpty():
+            write(mixed.select("file_id", "n_lines", "last_line", "year", "quarter"), folder, "collisions", commit)
+        eligible = staged(eligible_rows(own, keys, rules), "eligible").drop("year", "quarter")
+        staged(remainder_lines(own, eligible, rules), "remainder")
+        profiles = land(profile(cut_positions(split_on_id(eligible))), "profiles")
+        staged(full_profile(fresh, profiles), "layouts")
+        rows = staged(holdings(eligible, rules, profiles=profiles), "holdings").drop("year", "quarter")
+        staged(option_audit(eligible, rows, rules).drop("year"), "option_audit")
+        write_merged(merged(rows), folder, commit)
+        staged(header_fields(fresh, own), "headers", "file")
+        record(fresh, folder, commit)
+
+
+def curate(lines: DataFrame, entities: DataFrame, folder: str, commit: str | None = None) -> None:
     """Add the filings of the given entities to a curated archive, leaving out what it has.
 
     ``entities(cik)`` is compared with the filer in the file key. The archive is partitioned by
-    period and only grows; a second run over the same filings adds nothing.
+    commit and period and only grows; a second run over the same filings adds nothing. Its log says
+    what it has, so no line of it is read.
     """
-    chosen = of_entities(lines.withColumn("cik", cik_of(F.col("file_id"))), entities).drop("cik")
-    done = published(lines.sparkSession, folder, StructType([lines.schema["file_id"]])).distinct()
-    fresh = not_yet(chosen, done)
-    dated = with_period(fresh.select("file_id", "line_no", "line"))
-    dated.hint("rebalance", "year", "quarter").write.mode("append").partitionBy(
-        "year", "quarter"
-    ).parquet(folder)
+    spark, commit = lines.sparkSession, commit or new_commit()
+    if is_recorded(spark, folder, commit):
+        return
+    with scope(spark):
+        filings = land(filings_of(lines), "filings")
+        chosen = of_entities(filings.withColumn("cik", cik_of(F.col("file_id"))), entities).drop("cik")
+        fresh = land(not_yet(chosen, land(known(spark, folder, filings), "known")), "fresh")
+        if fresh.isEmpty():
+            return
+        own = _lines_of(lines, fresh, land(not_yet(filings, fresh), "others"))
+        write(with_period(own.select("file_id", "line_no", "line")), folder, "", commit)
+        record(fresh, folder, commit)

@@ -5,12 +5,17 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.operators.chunks import CHUNK_LINES, chunk_of
 
 _OWN_FOLDERS: dict[str, str] = {}
+_open = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -43,13 +48,56 @@ def land(table: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     a hot partition is split over several tasks.
     """
     spark = table.sparkSession
-    path = fresh_path(spark, name)
+    path = _noted(spark, fresh_path(spark, name))
     if partition_by:
         table = table.hint("rebalance", *partition_by)
     table.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(table.schema).parquet(path)
 
 
+def land_by_chunk(lines: DataFrame, buckets: int | None = None, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """Lines landed in buckets by ``(file_id, chunk)``, with their chunk as a column.
+
+    They are shuffled this once; whatever meets them by chunk later comes to them. A bucket is one
+    file; there are as many as shuffle partitions unless told otherwise. It is a table of the
+    session's catalog, since only tables know their buckets.
+    """
+    spark = lines.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = _noted(spark, fresh_path(spark, "lines"))
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = lines.withColumn("chunk", chunk_of("line_no", chunk_lines)).repartition(buckets, "file_id", "chunk")
+    dealt.write.bucketBy(buckets, "file_id", "chunk").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def _noted(spark: SparkSession, path: str) -> str:
+    for paths in getattr(_open, "scopes", [])[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables landed inside by this thread are removed at its end, also if that is an error.
+
+    For work that is done when the scope ends: a table that is still to be computed must not read them.
+    """
+    scopes = _open.__dict__.setdefault("scopes", [])
+    scopes.append([])
+    try:
+        yield
+    finally:
+        for path in scopes.pop():
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def fits(table: DataFrame, max_rows: int) -> bool:
     """Whether a table has at most ``max_rows`` rows; a plain count, which landed tables answer from their footers."""
     return table.count() <= max_rows

@@ -2,19 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.functions.keys import date_of
 from ledgerline.operators.merge import as_written, definite_options, option_candidates
-from ledgerline.sources.landing import land
-
-
-def with_period(table: DataFrame, key: str = "file_id") -> DataFrame:
-    """Year and quarter of filing, from the file key; null where the key holds no date."""
-    filed = F.try_to_date(date_of(F.col(key)), "yyyy-MM-dd")
-    return table.withColumn("year", F.year(filed)).withColumn("quarter", F.quarter(filed))
+from ledgerline.sources.commits import new_commit, record, with_period, write
 
 
 def write_by_period(table: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -33,31 +24,18 @@ def write_csv(table: DataFrame, path: str) -> None:
     table.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="", nullValue="")
 
 
-def published(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A published table, empty where there is none yet; other errors are errors."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def add_by_period(table: DataFrame, path: str, key: str) -> None:
-    """Append the filings that a published table does not have; filings and periods in it stay as they are."""
-    done = published(table.sparkSession, path, table.schema).select(key).distinct()
-    write_by_period(table.join(done, key, "left_anti"), path, "append")
-
-
-def write_merged(stock: DataFrame, folder: str) -> DataFrame:
+def write_merged(stock: DataFrame, folder: str, commit: str | None = None) -> DataFrame:
     """Stock, option and definite-option tables of new filings, from one computation of the holdings.
 
-    The stock rows are landed once and the other two are filters of them; returns what was landed.
+    The stock rows are written once and the other two are filters of them; returns the stock rows.
+    Without a commit that goes on, these three tables are a commit of their own.
     """
-    written = land(with_period(stock, "filename"), "stock")
-    add_by_period(written, f"{folder}/stock", "filename")
-    add_by_period(option_candidates(written), f"{folder}/option", "filename")
-    add_by_period(definite_options(written), f"{folder}/option_def", "filename")
+    own = commit or new_commit()
+    written = write(with_period(stock, "filename"), folder, "stock", own)
+    write(option_candidates(written), folder, "option", own)
+    write(definite_options(written), folder, "option_def", own)
+    if not commit:
+        record(written.select(F.col("filename").alias("file_id"), "year", "quarter").distinct(), folder, own)
     return written
 
 

@@ -10,10 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.keys import file_id_of
+from ledgerline.functions.rules import RULES
 from ledgerline.functions.text import clean_utf8
 from ledgerline.operators.chunks import number_rows
+from ledgerline.plans.run import extract
 from ledgerline.sources.filings import WHOLE_BYTES, lines_of
-from ledgerline.sources.landing import land
+from ledgerline.sources.landing import land, scope
 
 
 def arriving_filings(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -77,3 +79,39 @@ def ingest(
         .start()
         .awaitTermination()
     )
+
+
+def arriving_bundles(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Stream of the lines of new Parquet files ``(file_id, line_no, line)``, each with whole filings."""
+    return spark.readStream.schema("file_id string, line_no int, line string").options(**options).parquet(path)
+
+
+def publish(
+    arrivals: DataFrame,
+    keys: DataFrame,
+    folder: str,
+    checkpoint: str,
+    lines_of_batch: Callable[[DataFrame], DataFrame] = lines_of_blocks,
+    rules: dict[str, str] = RULES,
+) -> None:
+    """Work off everything that has arrived into the published tables, and stop.
+
+    A batch is one commit, named after its stream (as its checkpoint has it) and its number. A batch that
+    ended between two tables is made again under the same name and writes over what it left; one that was
+    recorded before the stream could note it does nothing. Filings that any run published are left out.
+    """
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("a batch outside of its stream has no name")
+        with scope(spark):
+            extract(land(lines_of_batch(batch), "arrived"), keys, folder, rules, commit=f"stream-{stream}-{number}")
+
+    (
+        arrivals.writeStream.foreachBatch(add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.functions.keys import file_key
+from ledgerline.functions.keys import file_key, identities
 from ledgerline.functions.rules import RULES, load_rules
 from ledgerline.operators.dictionary import entity_ids, lookup_keys, security_dictionary
 from ledgerline.operators.eligible import eligible_rows
@@ -12,7 +12,9 @@ from ledgerline.operators.index import in_periods, parse_index
 from ledgerline.operators.manifest import curated_folder, manifest, not_yet, of_entities
 from ledgerline.operators.merge import merged
 from ledgerline.plans.run import curate, extract
+from ledgerline.sources.commits import read_table
 from ledgerline.sources.filings import read_index_lines, read_lines, read_long_lines, scan_files
+from ledgerline.sources.listing import filings_in, list_files
 from ledgerline.sources.sinks import export_merged, write_merged
 from ledgerline.sources.tables import read_entities, read_index, read_list_a, read_list_b, read_master
 
@@ -24,9 +26,9 @@ TEXTS = {
     "rawdata_2001_QTR2/notes.md": b"not a filing",
 }
 LINES = {
-    "12_2001-02-03_7": ["<SEC-HEADER>", "CITY: X", "</SEC-HEADER>", "APPLE INC   COM  037833100   5   7 ", "", "end"],
-    "13_2001-03-03_8": ["one", ""],
-    "14_2001-05-04_1": ["bad  byte", "APPLE INC   PUT  037833100   12   34 PUT"],
+    "rawdata_2001_QTR1/12_2001-02-03_7": ["<SEC-HEADER>", "CITY: X", "</SEC-HEADER>", "APPLE INC   COM  037833100   5   7 ", "", "end"],
+    "rawdata_2001_QTR1/13_2001-03-03_8": ["one", ""],
+    "rawdata_2001_QTR2/14_2001-05-04_1": ["bad  byte", "APPLE INC   PUT  037833100   12   34 PUT"],
 }
 
 
@@ -148,8 +150,20 @@ def test_index(spark, tmp_path):
 
 
 def test_file_key(spark):
-    files = spark.createDataFrame([("1_2001-01-01_a.b",), ("no_key",), ("a_b_c_d",)], "file_id string")
-    assert [tuple(r) for r in file_key(files).collect()] == [("1_2001-01-01_a.b", "1", "2001-01-01", "a.b")]
+    files = spark.createDataFrame([("1_2001-01-01_a.b",), ("no_key",), ("a_b_c_d",), ("rawdata_2001_QTR1/1_2001-01-01_a.b",)], "file_id string")
+    assert [tuple(r) for r in file_key(files).collect()] == [
+        ("1_2001-01-01_a.b", "1", "2001-01-01", "a.b"), ("rawdata_2001_QTR1/1_2001-01-01_a.b", "1", "2001-01-01", "a.b")]
+
+
+def test_identities(spark):
+    rows = [(2001, 1, "0001", "2001-01-02", f"edgar/data/1/{name}.txt") for name in ("0001234567-01-000012", "0007654321-01-000012", "0001234567-01-000013")]
+    rows.append((2001, 2, "1", "2001-01-02", "edgar/data/1/0001234567-01-000012.txt"))
+    index = spark.createDataFrame(rows, "year int, quarter int, cik string, date_filed string, filename string")
+    got = {(r["accession"], r["file_id"], r["n_same"]) for r in identities(index).collect()}
+    assert got == {
+        ("0001234567-01-000012", "rawdata_2001_QTR1/1_2001-01-02_12", 2), ("0007654321-01-000012", "rawdata_2001_QTR1/1_2001-01-02_12", 2),
+        ("0001234567-01-000013", "rawdata_2001_QTR1/1_2001-01-02_13", 1), ("0001234567-01-000012", "rawdata_2001_QTR2/1_2001-01-02_12", 1),
+    }
 
 
 def test_written_tables(spark, archive, tmp_path):
@@ -159,7 +173,7 @@ def test_written_tables(spark, archive, tmp_path):
     write_merged(stock, str(tmp_path / "out"))
     read = spark.read.parquet(str(tmp_path / "out/stock"))
     assert {(r["filename"], r["year"], r["quarter"]) for r in read.collect()} == {
-        ("12_2001-02-03_7", 2001, 1), ("14_2001-05-04_1", 2001, 2)}
+        ("rawdata_2001_QTR1/12_2001-02-03_7", 2001, 1), ("rawdata_2001_QTR2/14_2001-05-04_1", 2001, 2)}
     assert spark.read.parquet(str(tmp_path / "out/option_def")).count() == 1
     export_merged(stock, str(tmp_path / "csv"))
     text = spark.read.text(str(tmp_path / "csv/OptionFile")).collect()
@@ -188,4 +202,29 @@ def test_curated_archive_grows_once(spark, archive, tmp_path):
         curate(lines, spark.createDataFrame([(cik,) for cik in ciks], "cik string"), target)
         kept = spark.read.parquet(target)
         assert kept.select("file_id").distinct().count() == n_files
-        assert as_dict(kept) == {name: text for name, text in LINES.items() if name.split("_")[0] in ciks}
+        assert as_dict(kept) == {name: text for name, text in LINES.items() if name.split("/")[1].split("_")[0] in ciks}
+
+
+def test_files_without_content(spark, archive, tmp_path):
+    found = list_files(spark, str(archive))
+    assert {(r["path"].removeprefix(f"{archive}/"), r["size"]) for r in found.collect()} == {(name, len(text)) for name, text in TEXTS.items()}
+    rows = {r["filename"]: (r["cik"], r["year"], r["qtr"], r["size"]) for r in manifest(found).collect()}
+    assert rows["12_2001-05-03_9.txt"] == ("12", "2001", "QTR2", 0) and len(rows) == 4
+    filings = filings_in(found)
+    assert {tuple(r) for r in filings.collect()} == {(name[:-4], 1, len(text)) for name, text in TEXTS.items() if name.endswith(".txt")}
+    folder = str(tmp_path / "run")
+    for _ in range(2):
+        extract(read_lines(spark, f"{archive}/*/*.txt"), spark.createDataFrame([("037833",)], "key string"), folder, files=filings)
+    headers = {r["file"]: r for r in read_table(spark, folder, "headers").collect()}
+    assert len(headers) == 4 and headers["rawdata_2001_QTR2/12_2001-05-03_9"]["cik"] == "12" and headers["rawdata_2001_QTR2/12_2001-05-03_9"]["city"] == ""
+    assert read_table(spark, folder, "layouts").count() == 4 and read_table(spark, folder, "remainder").count() == 8
+
+
+def test_files_of_one_key(spark, tmp_path):
+    for root in ("a", "b"):
+        (tmp_path / root / "rawdata_2001_QTR1").mkdir(parents=True)
+        (tmp_path / root / "rawdata_2001_QTR1/1_2001-01-01_1.txt").write_text(root)
+    (tmp_path / "2_2001-01-01_1.txt").write_text("")
+    got = {tuple(r) for r in filings_in(list_files(spark, str(tmp_path))).collect()}
+    assert got == {("rawdata_2001_QTR1/1_2001-01-01_1", 2, 2), ("2_2001-01-01_1", 1, 0)}
+    assert filings_in(list_files(spark, f"file://{tmp_path}")).count() == 2

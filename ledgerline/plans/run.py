@@ -11,10 +11,10 @@ from ledgerline.operators.eligible import eligible_rows, placed, remainder_lines
 from ledgerline.operators.header import header_fields
 from ledgerline.operators.holdings import holdings
 from ledgerline.operators.layout import cut_positions, full_profile, profile, split_on_id
-from ledgerline.operators.manifest import not_yet, of_entities
+from ledgerline.operators.manifest import of_entities
 from ledgerline.operators.merge import merged, option_audit
 from ledgerline.sources.commits import BROADCAST_FILINGS, is_recorded, known, new_commit, record, with_period, write
-from ledgerline.sources.landing import fits, land, scope
+from ledgerline.sources.landing import land, scope
 from ledgerline.sources.sinks import write_merged
 
 # The published tables, in the order in which they are written.
@@ -35,21 +35,36 @@ def filings_of(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     return with_period(counted)
 
 
-def _lines_of(lines: DataFrame, filings: DataFrame, others: DataFrame) -> DataFrame:
-    """The lines of some filings, of which ``others`` are all the rest.
+def _sorted_out(lines: DataFrame, folder: str, files: DataFrame | None = None, chosen=None) -> tuple[DataFrame, dict[str, int]]:
+    """``filings_of`` with ``state``: known (published), mixed (two files under one key), fresh, or other (not ``chosen``); and their counts."""
+    spark, filings = lines.sparkSession, filings_of(lines, files)
+    filings = land(filings, "filings")
+    done = known(spark, folder, filings).select("file_id", F.lit(True).alias("_known"))
+    mixes = F.col("n_lines") > F.coalesce("last_line", F.lit(-1)) + 1
+    other = F.lit(False) if chosen is None else ~F.col("_chosen")
+    if chosen is not None:
+        filings = filings.join(chosen(filings).select("file_id", F.lit(True).alias("_chosen")), "file_id", "left").fillna({"_chosen": False})
+    state = F.when(other, "other").when(F.col("_known"), "known").when(mixes, "mixed").otherwise("fresh")
+    states = land(filings.join(done, "file_id", "left").withColumn("state", state).drop("_known", "_chosen"), "states")
+    return states, {r["state"]: r["count"] for r in states.groupBy("state").count().collect()}
 
-    The shorter list is broadcast if it is short enough, counted. Two long lists meet the lines by
-    chunk, so that a huge filing is no single task's.
+
+def _lines_of(lines: DataFrame, states: DataFrame, counts: dict[str, int], state: str = "fresh") -> DataFrame:
+    """The lines of the filings in one state.
+
+    The list of these or that of all others is broadcast, the shorter one, if it is short enough.
+    Two long lists meet the lines by chunk, so that a huge filing is no single task's.
     """
-    if others.isEmpty():
+    own, others = counts.get(state, 0), sum(n for name, n in counts.items() if name != state)
+    wanted = F.col("state") == state
+    if not others:
         return lines
-    if fits(others, BROADCAST_FILINGS):
-        return lines.join(F.broadcast(others.select("file_id")), "file_id", "left_anti")
-    if fits(filings, BROADCAST_FILINGS):
-        return lines.join(F.broadcast(filings.select("file_id")), "file_id", "left_semi")
-    chunks = over_chunks(filings.select("file_id", "last_chunk"))
-    columns = lines.columns
-    return lines.withColumn("chunk", placed(lines)).join(chunks, ["file_id", "chunk"], "left_semi").select(columns)
+    if min(own, others) > BROADCAST_FILINGS:
+        chunks = over_chunks(states.filter(wanted).select("file_id", "last_chunk"))
+        return lines.withColumn("chunk", placed(lines)).join(chunks, ["file_id", "chunk"], "left_semi").select(lines.columns)
+    if others <= own:
+        return lines.join(F.broadcast(states.filter(~wanted).select("file_id")), "file_id", "left_anti")
+    return lines.join(F.broadcast(states.filter(wanted).select("file_id")), "file_id", "left_semi")
 
 
 def extract(
@@ -73,19 +88,16 @@ def extract(
         return
     lines = lines.withColumn("file_id", F.coalesce("file_id", F.lit("")))
     with scope(spark):
-        filings = land(filings_of(lines, files), "filings")
-        done = land(known(spark, folder, filings), "known")
-        mixes = F.col("n_lines") > F.coalesce("last_line", F.lit(-1)) + 1
-        fresh, mixed = land(not_yet(filings.where(~mixes), done), "fresh"), land(not_yet(filings.where(mixes), done), "mixed")
-        if fresh.isEmpty() and mixed.isEmpty():
+        states, counts = _sorted_out(lines, folder, files)
+        if not counts.keys() & {"fresh", "mixed"}:
             return
-        own = _lines_of(lines, fresh, land(not_yet(filings, fresh), "others"))
+        fresh, own = states.filter("state = 'fresh'"), _lines_of(lines, states, counts)
 
         def staged(table: DataFrame, name: str, key: str = "file_id") -> DataFrame:
             return write(with_period(table, key), folder, name, commit)
 
-        if not mixed.isEmpty():
-            write(mixed.select("file_id", "n_lines", "last_line", "year", "quarter"), folder, "collisions", commit)
+        if "mixed" in counts:
+            write(states.filter("state = 'mixed'").select("file_id", "n_lines", "last_line", "year", "quarter"), folder, "collisions", commit)
         eligible = staged(eligible_rows(own, keys, rules), "eligible").drop("year", "quarter")
         staged(remainder_lines(own, eligible, rules), "remainder")
         profiles = land(profile(cut_positions(split_on_id(eligible))), "profiles")
@@ -102,17 +114,16 @@ def curate(lines: DataFrame, entities: DataFrame, folder: str, commit: str | Non
 
     ``entities(cik)`` is compared with the filer in the file key. The archive is partitioned by
     commit and period and only grows; a second run over the same filings adds nothing. Its log says
-    what it has, so no line of it is read.
+    what it has, so no line of it is read. Filings whose lines are mixed are left out.
     """
     spark, commit = lines.sparkSession, commit or new_commit()
     if is_recorded(spark, folder, commit):
         return
     with scope(spark):
-        filings = land(filings_of(lines), "filings")
-        chosen = of_entities(filings.withColumn("cik", cik_of(F.col("file_id"))), entities).drop("cik")
-        fresh = land(not_yet(chosen, land(known(spark, folder, filings), "known")), "fresh")
-        if fresh.isEmpty():
+        of_these = lambda filings: of_entities(filings.withColumn("cik", cik_of(F.col("file_id"))), entities)
+        states, counts = _sorted_out(lines, folder, chosen=of_these)
+        if "fresh" not in counts:
             return
-        own = _lines_of(lines, fresh, land(not_yet(filings, fresh), "others"))
+        own = _lines_of(lines, states, counts)
         write(with_period(own.select("file_id", "line_no", "line")), folder, "", commit)
-        record(fresh, folder, commit)
+        record(states.filter("state = 'fresh'"), folder, commit)

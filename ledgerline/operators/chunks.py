@@ -81,3 +81,26 @@ def number_rows(rows: DataFrame, key: str, chunk: str, order: list, out: str) ->
         .withColumn(out, F.col("_rank") + F.coalesce("_start", F.lit(0)))
         .drop("_rank", "_start")
     )
+
+
+def run_of(block: str, seq: str, chunk_lines: int = CHUNK_LINES) -> Column:
+    """A bounded run of a block's rows, for ``number_rows``: ``seq`` numbers them as one task read them.
+
+    A block that cannot be split, such as a packed file, may hold any number of rows.
+    """
+    return F.struct(F.col(block), F.floor(F.col(seq) / chunk_lines).alias("run"))
+
+
+def number_sorted(rows: DataFrame, key: str, order: list[str], out: str, land, run_rows: int = CHUNK_LINES // 2) -> DataFrame:
+    """Number the rows of each key from 1, in the full order of ``order``, however many rows a key or a value has.
+
+    The rows are dealt by sampled ranges of key and whole order, so many that a run has about ``run_rows``
+    of them; rows alike in all of it may lie in several runs, in any order. A run is landed with its number
+    (``land`` writes a table and reads it back) and sorted by itself; the counts of a key's earlier runs
+    are added from one row a run.
+    """
+    runs = max(1, -(-rows.count() // run_rows))
+    # Rows alike are told apart by a draw, so that they do not all fall into one range.
+    dealt = rows.withColumn("_draw", F.rand(7)).repartitionByRange(runs, key, *order, "_draw")
+    placed = land(dealt.withColumn("_run", F.spark_partition_id()), "runs")
+    return number_rows(placed, key, "_run", [*order, "_draw"], out).drop("_run", "_draw")

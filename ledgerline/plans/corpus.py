@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.operators.chunks import CHUNK_LINES, number_rows
+from ledgerline.operators.chunks import CHUNK_LINES, number_rows, number_sorted
 from ledgerline.operators.dictionary import entity_ids, lookup_keys, security_dictionary
 from ledgerline.operators.index import parse_index
 from ledgerline.plans.run import curate, extract
@@ -73,7 +73,7 @@ class Corpus:
     def holding_lines(self) -> DataFrame:
         """(k, rn, val, line): the holdings lines of every filing, numbered from 1.
 
-        The few filings longer than a chunk are numbered piece by piece.
+        The few filings longer than a chunk are numbered in ranges of their order.
         """
         order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                  "l_shipdate", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -83,11 +83,10 @@ class Corpus:
             .filter(F.col("n") > CHUNK_LINES)
             .select("l_orderkey", F.lit(True).alias("long"))
         )
-        piece = F.col("l_linenumber").cast("bigint") * (1 << 40) + F.floor(F.col("l_partkey") / CHUNK_LINES)
-        placed = items.join(long, "l_orderkey", "left").withColumn(
-            "piece", F.when(F.col("long"), piece).otherwise(F.lit(0).cast("bigint"))
-        )
-        numbered = number_rows(placed, "l_orderkey", "piece", order, "rn")
+        placed = items.join(long, "l_orderkey", "left").withColumn("piece", F.lit(0))
+        numbered = number_rows(placed.filter("long is null").drop("long"), "l_orderkey", "piece", order, "rn").drop("piece")
+        if not long.isEmpty():
+            numbered = numbered.unionByName(number_sorted(placed.filter("long").drop("long", "piece"), "l_orderkey", order, "rn", land))
         return (
             numbered.join(self.securities(), F.col("l_partkey") == F.col("p"))
             .select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.functions.keys import file_id_of
 from ledgerline.functions.text import NEWLINES, clean_utf8
-from ledgerline.operators.chunks import number_rows
+from ledgerline.operators.chunks import number_rows, run_of
 from ledgerline.sources.landing import land
 
 # A filing up to this size is read in one piece; longer ones are read block by block.
@@ -55,7 +55,8 @@ def read_long_lines(spark: SparkSession, path: str, over_bytes: int) -> DataFram
     """Lines of the files longer than ``over_bytes``, each block of a file read by its own task.
 
     The running id of a task orders the lines inside a block. It is written down before the
-    blocks are counted, so that both passes number the same lines.
+    blocks are counted, so that both passes number the same lines. Lines are sorted in bounded runs
+    of it, so a packed file, which is one block, is shared among tasks from there on.
     """
     blocks = (
         spark.read.text(path).filter(F.col("_metadata.file_size") > over_bytes)
@@ -66,7 +67,8 @@ def read_long_lines(spark: SparkSession, path: str, over_bytes: int) -> DataFram
             clean_utf8(F.col("value")).alias("line"),
         )
     )
-    numbered = number_rows(land(blocks, "blocks"), "file_id", "block", ["seq"], "line_no")
+    placed = land(blocks, "blocks").withColumn("run", run_of("block", "seq"))
+    numbered = number_rows(placed, "file_id", "run", ["seq"], "line_no")
     return numbered.select("file_id", (F.col("line_no") - 1).cast("int").alias("line_no"), "line")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerline.functions.keys import file_id_of
 from ledgerline.functions.rules import RULES
 from ledgerline.functions.text import clean_utf8
-from ledgerline.operators.chunks import number_rows
+from ledgerline.operators.chunks import number_rows, run_of
 from ledgerline.plans.run import extract
 from ledgerline.sources.filings import WHOLE_BYTES, lines_of
 from ledgerline.sources.landing import land, scope
@@ -54,7 +54,7 @@ def lines_of_texts(batch: DataFrame) -> DataFrame:
 def lines_of_blocks(batch: DataFrame) -> DataFrame:
     """Numbered lines of a batch of long files; their order in a block is written down first."""
     blocks = land(batch.withColumn("seq", F.monotonically_increasing_id()), "blocks")
-    numbered = number_rows(blocks, "file_id", "block", ["seq"], "line_no")
+    numbered = number_rows(blocks.withColumn("run", run_of("block", "seq")), "file_id", "run", ["seq"], "line_no")
     return numbered.select("file_id", (F.col("line_no") - 1).cast("int").alias("line_no"), "line")
 
 

@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.functions.text import without_zeros
 
 SPELLINGS = ("full", "issuer", "short", "stripped")
 
 
-def _spelled(table: DataFrame, *spellings: Column) -> DataFrame:
-    return table.select(F.explode(F.array(*spellings)).alias("key"))
-
-
 def security_dictionary(
     master: DataFrame, list_a: DataFrame, list_b: DataFrame, spellings=SPELLINGS
 ) -> DataFrame:
@@ -25,20 +21,23 @@ def security_dictionary(
     """
     id8, check, issuer = F.col("cusip8"), F.col("issue_check"), F.col("issuer_num")
     cusip, ncusip = F.col("cusip"), F.col("ncusip")
+    bare8 = without_zeros(id8)
+    # Table by table what each choice adds, so that a table is read once.
+    added = {
+        "full": ([F.concat(id8, check)], [], []),
+        "issuer": ([issuer], [], []),
+        "short": ([], [cusip, ncusip], [cusip]),
+        "stripped": (
+            [without_zeros(issuer), bare8, F.concat(bare8, check)],
+            [without_zeros(cusip), without_zeros(ncusip)],
+            [without_zeros(cusip)],
+        ),
+    }
     parts = []
-    if "full" in spellings:
-        parts.append(_spelled(master, F.concat(id8, check)))
-    if "issuer" in spellings:
-        parts.append(_spelled(master, issuer))
-    if "short" in spellings:
-        parts += [_spelled(list_a, cusip, ncusip), _spelled(list_b, cusip)]
-    if "stripped" in spellings:
-        parts += [
-            _spelled(master, without_zeros(issuer), without_zeros(id8),
-                     F.concat(without_zeros(id8), check)),
-            _spelled(list_a, without_zeros(cusip), without_zeros(ncusip)),
-            _spelled(list_b, without_zeros(cusip)),
-        ]
+    for table, *columns in zip((master, list_a, list_b), *(added[choice] for choice in added if choice in spellings)):
+        keys = [key for some in columns for key in some]
+        if keys:
+            parts.append(table.select(F.explode(F.array(*keys)).alias("key")))
     return reduce(DataFrame.unionByName, parts).filter(F.col("key").isNotNull()).distinct()
 
 

@@ -137,6 +137,13 @@ def totals_reconciled(c):
     return table.withColumns({name: _whole(name) for name in numbers})
 
 
+def holdings_with_header(c):
+    """Only what the join shows is landed."""
+    headers = _headers(c).select("file", "accession_number", "company_conformed_name", "conformed_period_of_report")
+    stock = _stock(c).select("filename", "line_no", "name", "cusip", "value", "shares", "opt", "flagr")
+    return hdr.with_header(land(headers, "headers"), land(stock, "stock"))
+
+
 def _index_of(c):
     return c.index().select("year", "quarter", *idx.INDEX_COLUMNS)
 
@@ -244,7 +251,7 @@ OPERATORS: dict[str, Callable[[Corpus], DataFrame]] = {
     "table_region": lambda c: hdr.table_region(c.lines()).select("file_id", "line_no", "in_table"),
     "header_fields": _headers,
     "header_totals": header_totals,
-    "holdings_with_header": lambda c: hdr.with_header(land(_headers(c), "headers"), land(_stock(c), "stock")),
+    "holdings_with_header": holdings_with_header,
     "totals_reconciled": totals_reconciled,
     "index_parse": lambda c: idx.parse_index(c.index_lines()),
     "index_period_prune": index_period_prune,

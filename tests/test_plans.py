@@ -2,13 +2,13 @@
 
 import pytest
 
-from ledgerline.operators.eligible import eligible_rows
+from ledgerline.operators.eligible import eligible_rows, remainder_lines
 from ledgerline.operators.holdings import holdings
 from ledgerline.operators.index import in_periods
 from ledgerline.operators.merge import definite_options, merged
 from ledgerline.plans.corpus import corpus
 from ledgerline.plans.queries import OPERATORS
-from ledgerline.sources.landing import land
+from ledgerline.sources.landing import land, land_by_chunk
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -72,3 +72,38 @@ def test_columns_are_pruned(spark, tables):
     assert "ReadSchema: struct<file_id:string,line_no:int,line:string>" in plan
     manifest = plan_of(OPERATORS["incremental_skip"](tables))
     assert "l_comment" not in manifest and "c_acctbal" not in manifest
+
+
+def test_reference_tables_are_read_once(tables):
+    plan = plan_of(tables.dictionary())
+    assert plan.count("FileScan") == 3
+
+
+def test_remainder_moves_no_text(spark, tables):
+    lines = land_by_chunk(tables.lines().select("file_id", "line_no", "line"), 5)
+    eligible = land(eligible_rows(lines, tables.keys()), "eligible")
+    for limit in (1 << 26, 0):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760" if limit else "-1")
+        try:
+            rest = remainder_lines(lines, eligible, broadcast_bytes=limit)
+            plan = plan_of(rest, run=True)
+            assert ("BroadcastHashJoin" if limit else "ShuffledHashJoin") in plan
+            text = next(part for part in plan.split("\n") if "FileScan" in part and ",line#" in part or "line#" in part and "FileScan" in part)
+            assert "Bucketed: true" in text or limit
+            # Only rows of bits are exchanged.
+            exchanged = [part for part in plan.split("\n") if "Exchange" in part and "Broadcast" not in part]
+            assert all("file_id" in part and "chunk" in part for part in exchanged) and len(exchanged) <= 1
+            assert rest.count() == lines.count() - eligible.count()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_bits_of_chunk_boundaries(spark):
+    rows = [("f", i, f"APPLE 037833100 {i}" if i % 5 == 0 else f"no {i}") for i in range(700)] + [("g", i, "none") for i in range(3)]
+    lines = spark.createDataFrame(rows, "file_id string, line_no int, line string")
+    keys = spark.createDataFrame([("037833",)], "key string")
+    for chunk_lines in (1, 64, 100, 65536):
+        eligible = eligible_rows(lines, keys, chunk_lines=chunk_lines)
+        for limit in (1 << 26, 0):
+            got = {(r["file_id"], r["line_no"]) for r in remainder_lines(lines, eligible, chunk_lines=chunk_lines, broadcast_bytes=limit).collect()}
+            assert got == {(f, i) for f, i, line in rows if line[0] == "n"}

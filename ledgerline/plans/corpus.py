@@ -97,6 +97,7 @@ class Corpus:
                 F.col("l_quantity").cast("bigint").cast("string").alias("shr"),
                 "nm",
                 self._option_words().alias("opt"),
+                (F.col("l_partkey") % 8).alias("odd"),
             )
             .select("k", "rn", "val", self._line().alias("line"))
         )
@@ -125,7 +126,11 @@ class Corpus:
     @staticmethod
     def _line():
         tabbed = F.concat(F.concat_ws("\t", "nm", F.lit("COM"), "pid", "val", "shr", F.lit("SH")), "opt")
-        commas = F.concat(F.lit('"'), "nm", F.lit(', INC",'), "pid", F.lit(","), "val", F.lit(","),
+        # Comma lines have every way an option candidate can look: a name too long, no value, the identifier as value.
+        odd = F.col("odd")
+        name = F.concat("nm", F.when(odd == 0, "INTERNATIONALHOLDINGSCORPORATION").otherwise(""))
+        value = F.when(odd == 1, "").when(odd == 2, F.col("pid")).otherwise(F.col("val"))
+        commas = F.concat(F.lit('"'), name, F.lit(', INC",'), "pid", F.lit(","), value, F.lit(","),
                           "shr", F.lit(",SH,SOLE"), "opt")
         short = F.concat("pid", F.lit(" "), F.substring("shr", 1, 2))
         width = F.greatest(F.length("nm"), F.lit(20)) + F.when(F.length("nm") < 20, 0).otherwise(2)
@@ -133,7 +138,9 @@ class Corpus:
         columns = F.concat(padded, F.lit("COM   "), "pid", F.lit("   "), "val", F.lit("   "),
                            "shr", F.lit(" SH SOLE"), "opt")
         seed = F.col("k") % 5
-        return F.when(seed == 0, tabbed).when(seed == 1, commas).when(seed == 4, short).otherwise(columns)
+        # Some filings hold a page: its mark is on the first line.
+        page = F.when((F.col("k") % 7 == 0) & (seed == 2) & (F.col("rn") == 1), "<html>").otherwise("")
+        return F.when(seed == 0, tabbed).when(seed == 1, commas).when(seed == 4, short).otherwise(F.concat(columns, page))
 
     def lines(self) -> DataFrame:
         """``lines(file_id, line_no, line, year, quarter)`` of the whole corpus, landed."""

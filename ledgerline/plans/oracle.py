@@ -117,9 +117,11 @@ TABLES = {
       select k, rn, pid, val, shr, nm, opt,
         case k % 5
          when 0 then nm||chr(9)||'COM'||chr(9)||pid||chr(9)||val||chr(9)||shr||chr(9)||'SH'||opt
-         when 1 then '"'||nm||', INC",'||pid||','||val||','||shr||',SH,SOLE'||opt
+         when 1 then '"'||nm||case when odd = 0 then 'INTERNATIONALHOLDINGSCORPORATION' else '' end||', INC",'||pid||','
+           ||case odd when 1 then '' when 2 then pid else val end||','||shr||',SH,SOLE'||opt
          when 4 then pid||' '||substr(shr,1,2)
          else nm||repeat(' ', case when length(nm) < 20 then 20-length(nm) else 2 end)||'COM   '||pid||'   '||val||'   '||shr||' SH SOLE'||opt
+           ||case when k % 7 = 0 and k % 5 = 2 and rn = 1 then '<html>' else '' end
         end as line
       from (
         select l_orderkey as k,
@@ -129,7 +131,7 @@ TABLES = {
             when 4 then lower(id8)||chk
             when 5 then id8
             else id8||chk end as pid,
-          nm, cast(cast(floor(l_extendedprice) as bigint) as varchar) as val,
+          l_partkey % 8 as odd, nm, cast(cast(floor(l_extendedprice) as bigint) as varchar) as val,
           cast(cast(l_quantity as bigint) as varchar) as shr,
           case when l_returnflag='R' and l_suppkey % 4 = 0 then ' CALL'
                when l_returnflag='A' and l_suppkey % 4 = 1 then ' PUT'

@@ -13,6 +13,7 @@ from ledgerline.llm.grades import fit, graded, rated
 from ledgerline.llm.graph_ann import nearest
 from ledgerline.llm.main_text import main_texts
 from ledgerline.llm.mixing import mixed
+from ledgerline.llm.oracle import oracle_sql  # noqa: F401
 from ledgerline.llm.prefix_join import similar_documents
 from ledgerline.llm.prefix_tree import CLOSE, END, OPEN, digests
 from ledgerline.llm.spellings import variants, vocabulary
@@ -129,7 +130,3 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

@@ -7,8 +7,10 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
+from ledgerline.llm import queries
 from ledgerline.llm import vector_codes as vc
 from ledgerline.llm.queries import op13_vector_codes
+from tests.check import compare, duck
 
 
 def plain(rows, parts=16, entries=64, rounds=2, scale=256):
@@ -120,3 +122,10 @@ def test_query_over_the_given_table(spark):
     folder = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
     assert sorted(map(tuple, op13_vector_codes(spark, folder).collect())) == sorted(plain(rows))
+
+
+@pytest.mark.parametrize("key", ["op12_spellings", "op13_vector_codes"])
+def test_sql_over_the_given_tables(spark, key):
+    folder = "/root/testdata/sf0.001"
+    same_names, got, want, _, _ = compare(spark, duck(folder), folder, key, queries.queries()[key], queries.oracle_sql()[key])
+    assert same_names and got == want and got

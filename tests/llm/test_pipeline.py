@@ -20,4 +20,4 @@ def test_stages(spark):
 def test_registered():
     names = set(entry.queries())
     assert set(queries.queries()) | {"pipeline"} <= names
-    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.queries()} == set(range(1, 14))

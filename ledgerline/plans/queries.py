@@ -77,16 +77,18 @@ def skip_lines(c):
     return c.lines().filter(eli.is_skipped(F.col("line"))).select("file_id", "line_no", "line")
 
 
-def coverage_check(c):
-    lines = c.lines()
-    eligible = _eligible(c)
+def _covered(c: Corpus, lines: DataFrame) -> DataFrame:
+    """The places of accepted lines are landed: they are counted, and what remains follows from them."""
+    eligible = land(eli.eligible_rows(lines, c.keys()).select("file_id", "chunk", "line_no"), "accepted_lines")
     return eli.coverage(lines, eligible, eli.remainder_lines(lines, eligible))
 
 
+def coverage_check(c):
+    return _covered(c, c.lines())
+
+
 def noise_coverage(c):
-    lines = _document_lines(c)
-    eligible = eli.eligible_rows(lines, c.keys())
-    return eli.coverage(lines, eligible, eli.remainder_lines(lines, eligible))
+    return _covered(c, _document_lines(c))
 
 
 def split_on_id(c):

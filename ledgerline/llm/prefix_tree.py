@@ -9,12 +9,14 @@ earlier one. A segment has its place in the sequence, position ids that go on fr
 mask (texts of the assistant) and the intervals of its ancestors, all that its tokens may attend to
 besides the segment's own earlier tokens.
 
-Node keys are running hashes over ordered turns; places come from sums per range of the sorted leaves,
-so neither a common first turn nor a common conversation gathers in one task. A conversation with its
-own turns is one record.
-
-Rows of a conversation are ordered by turn (null first), role, text; repeated rows are turns of their
-own. Null roles and texts are empty, null conv_ids are one conversation. Other columns are ignored.
+The tree is built from hashes and token counts alone; texts are shuffled once, to their conversation,
+where they become tokens after the last shuffle, and what a reader needs of its ancestors' tokens goes to
+it as text with the marked spans. Node keys are running hashes over ordered turns; places come from sums
+per range of the sorted leaves, so neither a common first turn nor a common conversation gathers in one
+task. A conversation with its own turns is one record.
+
+Rows of a conversation are ordered by turn (null first), role, hash of the text; repeated rows are turns of
+their own. Null roles and texts are empty, null conv_ids are one conversation. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,104 +56,181 @@ def _tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
 
 
-def turns(conversations: DataFrame) -> DataFrame:
-    """conv (its key), conv_id, i (from 1), a, b (hashes of the turns up to here), tokens and loss of each turn."""
-    rows = conversations.select(
-        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), F.col("conv_id").cast("long").alias("conv_id"), "turn",
+def _head(role: Column) -> Column:
+    return F.concat(F.lit(OPEN), escaped(role), F.lit(CLOSE))
+
+
+def _ordering(turn: Column, role: Column, text: Column) -> list[Column]:
+    """What the rows of a conversation are ordered by."""
+    return [turn.isNotNull().alias("known"), turn.alias("turn"), role.alias("role"), F.xxhash64(F.lit(1), text).alias("h"), F.xxhash64(F.lit(2), text).alias("g")]
+
+
+def _rows(conversations: DataFrame) -> DataFrame:
+    return conversations.select(
+        F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), "turn",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    order = Window.partitionBy("conv").orderBy("turn", "role", "text")
+
+
+def paths(conversations: DataFrame) -> DataFrame:
+    """conv (its key) and path: for each turn in order a, b (hashes of the turns up to here) and n, its tokens."""
+    size = F.regexp_count(F.concat(_head(F.col("role")), escaped(F.col("text")), F.lit(END)), F.lit(TOKEN))
+    rows = _rows(conversations).select("conv", *_ordering(F.col("turn"), F.col("role"), F.col("text")), size.alias("n"))
+    order = Window.partitionBy("conv").orderBy("known", "turn", "role", "h", "g")
     rows = rows.withColumn("i", F.row_number().over(order))
     so_far = Window.partitionBy("conv").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hashed = lambda salt: F.bit_xor(F.xxhash64(F.lit(salt), "i", "role", "text")).over(so_far)
-    rows = rows.withColumn("a", hashed(1)).withColumn("b", hashed(2))
-    head = _tokens(F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(CLOSE)))
-    rows = rows.withColumn("head", head).withColumn("body", _tokens(escaped(F.col("text"))))
-    mask = F.concat(F.array_repeat(F.lit(False), F.size("head")), F.array_repeat(F.col("role").isin(*TRAINED), F.size("body")), F.array(F.lit(False)))
-    return rows.select("conv", "conv_id", "i", "a", "b", F.concat("head", "body", F.array(F.lit(END))).alias("tokens"), mask.alias("loss"))
+    hashed = lambda salt: F.bit_xor(F.xxhash64(F.lit(salt), "i", "role", "h", "g")).over(so_far)
+    rows = rows.select("conv", "i", hashed(1).alias("a"), hashed(2).alias("b"), "n")
+    path = F.array_sort(F.collect_list(F.struct("i", "a", "b", "n")))
+    return rows.groupBy("conv").agg(F.transform(path, lambda x: F.struct(x["a"], x["b"], x["n"])).alias("path"))
 
 
-def packed(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segments, members).
+def places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(placed, leaves) of landed paths.
 
-    segments: tree, segment, start (place in the tree's sequence), tokens, loss, position_ids, and attend:
-    the ancestors' intervals (segment, start, end) from the root on. members: conv_id, segment (the one
-    that ends the conversation). Conversations alike in all turns have one segment.
+    placed: segment, conv (whose turns it has), first (how many of them it shares), tree (the segment that begins it),
+    start, size, position, attend. leaves: segment, leaf (a, b of the last turn).
     """
-    rows = land(turns(conversations).withColumn("n", F.size("tokens")), "turns")
-    path = F.array_sort(F.collect_list(F.struct("i", "a", "b")))
-    paths = rows.groupBy("conv").agg(F.first("conv_id").alias("conv_id"), path.alias("path"))
-    paths = land(paths.withColumn("path", F.transform("path", lambda x: F.struct(x["a"], x["b"]))), "paths")
-    leaf = F.element_at("path", -1)
-    leaves = paths.groupBy(leaf.alias("leaf")).agg(F.min("conv").alias("conv"))
-    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = paths.join(leaves.select("conv"), "conv").select("conv", "path").repartitionByRange(ranges, "path").sortWithinPartitions("path")
+    last = F.element_at("path", -1)
+    leaf = F.struct(last["a"].alias("a"), last["b"].alias("b"))
+    firsts = found.groupBy(leaf.alias("leaf")).agg(F.min("conv").alias("conv"))
+    ranges = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = found.join(firsts.select("conv"), "conv", "left_semi").repartitionByRange(ranges, "path").sortWithinPartitions("path")
     ordered = land(ordered.withColumn("segment", F.monotonically_increasing_id()), "leaves")
 
-    nodes = ordered.select("segment", F.explode("path").alias("node")).groupBy("node").agg(F.min("segment").alias("owner"))
-    own = rows.join(ordered.select("conv", "segment", F.col("path")[0].alias("tree")), "conv")
-    own = own.withColumn("node", F.struct("a", "b")).select("segment", "tree", "node", "i", "n").join(nodes, "node")
-    own = land(own, "nodes")
-    mine = own.where("owner = segment")
+    nodes = ordered.select("segment", F.posexplode("path").alias("i", "node")).select("segment", "i", "node.a", "node.b", "node.n")
+    owners = nodes.groupBy("a", "b").agg(F.min("segment").alias("owner"))
+    # A segment's own turns are its last; what it shares with an owner begins where that owner's own turns begin.
+    pieces = nodes.join(owners, ["a", "b"]).groupBy("segment", "owner").agg(F.min("i").alias("first"), F.sum("n").alias("size"))
+    pieces = land(pieces, "pieces")
+    own = pieces.where("owner = segment").select("segment", "first", "size")
+    sizes = own.join(pieces.where("first = 0").select("segment", F.col("owner").alias("tree")), "segment").withColumn("range", F.shiftright("segment", 33))
 
     # Starts: sums per range of leaves, then within the range.
-    sizes = mine.groupBy("tree", "segment").agg(F.sum("n").alias("size")).withColumn("range", F.shiftright("segment", 33))
     by_range = sizes.groupBy("tree", "range").agg(F.sum("size").alias("size"))
     before = Window.partitionBy("tree").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     by_range = by_range.select("tree", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
     before = Window.partitionBy("tree", "range").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("inner", F.coalesce(F.sum("size").over(before), F.lit(0))).join(by_range, ["tree", "range"])
-    starts = land(starts.select("segment", (F.col("base") + F.col("inner")).alias("start"), "size"), "starts")
-
-    before = Window.partitionBy("segment").orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
-    placed = mine.withColumn("inner", F.coalesce(F.sum("n").over(before), F.lit(0))).join(starts.select("segment", "start"), "segment")
-    placed = placed.select("node", (F.col("start") + F.col("inner")).alias("at"), "n")
-    shared = own.where("owner <> segment").join(placed.select("node", "at"), "node")
-    pieces = shared.groupBy("segment", "owner").agg(F.min("i").alias("i"), F.min("at").alias("start"), F.max(F.col("at") + F.col("n")).alias("end"))
-    attend = F.array_sort(F.collect_list(F.struct("i", F.col("owner").alias("segment"), "start", "end")))
-    above = pieces.groupBy("segment").agg(F.transform(attend, lambda x: F.struct(x["segment"], x["start"], x["end"])).alias("attend"), F.sum(F.col("end") - F.col("start")).alias("position"))
-
-    texts = rows.join(ordered.select("conv", "segment"), "conv").join(mine.select("segment", "i", "tree"), ["segment", "i"])
-    parts = F.array_sort(F.collect_list(F.struct("i", "tokens", "loss")))
-    texts = texts.groupBy("segment").agg(F.first("tree").alias("tree"), parts.alias("parts"))
-    texts = texts.select("segment", "tree", F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.loss").alias("loss"))
-    out = texts.join(starts, "segment").join(above, "segment", "left").withColumn("position", F.coalesce("position", F.lit(0)))
+    starts = land(starts.select("segment", "tree", "first", (F.col("base") + F.col("inner")).alias("start"), "size"), "starts")
+
+    above = pieces.where("owner <> segment").join(starts.select(F.col("segment").alias("owner"), "start"), "owner")
+    listed = F.array_sort(F.collect_list(F.struct("first", F.col("owner").alias("segment"), "start", (F.col("start") + F.col("size")).alias("end"))))
+    above = above.groupBy("segment").agg(F.transform(listed, lambda x: F.struct(x["segment"], x["start"], x["end"])).alias("attend"), F.sum("size").alias("position"))
     kind = "array<struct<segment:bigint,start:bigint,end:bigint>>"
-    segments = out.select(
-        F.concat(F.hex("tree.a"), F.hex("tree.b")).alias("tree"), "segment", "start", "tokens", "loss",
-        F.sequence("position", F.col("position") + F.col("size") - 1).alias("position_ids"), F.coalesce(F.col("attend").cast(kind), F.array().cast(kind)).alias("attend"),
+    placed = starts.join(above, "segment", "left").join(ordered.select("segment", "conv"), "segment").select(
+        "segment", "conv", "first", "tree", "start", "size", F.coalesce("position", F.lit(0)).alias("position"), F.coalesce(F.col("attend").cast(kind), F.array().cast(kind)).alias("attend"),
     )
-    ends = paths.select("conv_id", leaf.alias("leaf")).join(ordered.select(leaf.alias("leaf"), "segment"), "leaf")
-    return land(segments, "segments"), ends.select("conv_id", "segment")
+    return land(placed, "places"), ordered.select("segment", leaf.alias("leaf"))
 
 
-def read_back(segments: DataFrame) -> DataFrame:
-    """segment, tokens, loss of the conversation that each segment ends, put together by its intervals."""
-    own = F.struct(F.col("segment"), F.col("start"), (F.col("start") + F.size("tokens")).cast("long").alias("end"))
-    wanted = segments.select(F.col("segment").alias("reader"), F.posexplode(F.concat("attend", F.array(own))).alias("k", "piece"))
-    found = wanted.select("reader", "k", F.col("piece.segment").alias("segment"), F.col("piece.start").alias("lo"), F.col("piece.end").alias("hi")).join(segments.select("segment", "start", "tokens", "loss"), "segment")
-    cut = lambda c: F.slice(c, (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias(c)
-    found = found.select("reader", "k", cut("tokens"), cut("loss"))
-    parts = F.array_sort(F.collect_list(F.struct("k", "tokens", "loss")))
-    whole = found.groupBy("reader").agg(parts.alias("parts"))
-    return whole.select(F.col("reader").alias("segment"), F.flatten("parts.tokens").alias("tokens"), F.flatten("parts.loss").alias("loss"))
-
-
-def parsed(tokens: list[str]) -> list[tuple[str, str]]:
-    """(role, text) of each turn in a formatted conversation."""
-    return [(restored(role), restored(text)) for role, text in _TURN.findall("".join(tokens))]
+def packed(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(segments, members).
 
+    segments: tree (its first segment), segment, conv (the conversation whose turns it has), start (place in the
+    tree's sequence), tokens, loss, position_ids, and attend: the ancestors' intervals (segment, start, end)
+    from the root on. They lie by conv. members: conv_id, segment (the one
+    that ends the conversation). Conversations alike in all turns have one segment.
+    """
+    found = land(paths(conversations), "paths")
+    placed, leaves = places(found)
+    gathered = _rows(conversations).groupBy("conv").agg(F.collect_list(F.struct("turn", "role", "text")).alias("rows"))
+    own = gathered.join(placed, "conv")
+    ordered = F.array_sort(F.transform("rows", lambda x: F.struct(*_ordering(x["turn"], x["role"], x["text"]), x["text"].alias("text"))))
+    own = own.withColumn("rows", F.slice(ordered, F.col("first") + 1, F.size("rows")))
+    cut = F.transform("rows", lambda x: F.struct(_tokens(_head(x["role"])).alias("head"), _tokens(escaped(x["text"])).alias("body"), x["role"].isin(*TRAINED).alias("on")))
+    own = own.withColumn("cut", cut)
+    tokens = F.flatten(F.transform("cut", lambda x: F.concat(x["head"], x["body"], F.array(F.lit(END)))))
+    loss = F.flatten(F.transform("cut", lambda x: F.concat(F.array_repeat(F.lit(False), F.size(x["head"])), F.array_repeat(x["on"], F.size(x["body"])), F.array(F.lit(False)))))
+    segments = own.select(
+        "tree", "segment", "conv", "start", tokens.alias("tokens"), loss.alias("loss"),
+        F.sequence("position", F.col("position") + F.col("size") - 1).alias("position_ids"), "attend",
+    )
+    last = F.element_at("path", -1)
+    key = F.when(F.col("conv") != "", F.col("conv").cast("long")).alias("conv_id")
+    members = found.select(key, F.struct(last["a"].alias("a"), last["b"].alias("b")).alias("leaf")).join(leaves, "leaf")
+    return segments, members.select("conv_id", "segment")
+
+
+def _spelled(tokens: pa.ListArray, loss: pa.ListArray) -> list[tuple[str, list[tuple[int, int]]]]:
+    """For each row its tokens as one text, and the spans (code points, half open) of neighbouring tokens under the mask."""
+    values = tokens.flatten().cast(pa.large_string())
+    on = loss.flatten().to_numpy(zero_copy_only=False).astype(np.int8)
+    at = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1] if len(values) else np.zeros(1, np.int64)
+    data = memoryview(values.buffers()[2] or b"") if len(values) else memoryview(b"")
+    ends = np.cumsum(np.concatenate(([0], tokens.value_lengths().to_numpy(zero_copy_only=False))))
+    out = []
+    for lo, hi in zip(ends[:-1], ends[1:]):
+        raw = bytes(data[at[lo] : at[hi]])
+        flips = np.flatnonzero(np.diff(on[lo:hi], prepend=0, append=0))
+        places, text = at[lo + flips] - at[lo], raw.decode()
+        if len(text) < len(raw):
+            points = np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
+            places = points[places]
+        out.append((text, list(zip(places[::2].tolist(), places[1::2].tolist()))))
+    return out
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_SPANS_SQL = "array<struct<start:bigint,end:bigint>>"
+#: Rows that are put together at a time in a worker.
+_SLICE = 64
+
+
+def _slices(batches):
+    for batch in batches:
+        for begin in range(0, batch.num_rows, _SLICE):
+            yield batch.slice(begin, _SLICE)
+
+
+def _spans(rows: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": s, "end": e} for s, e in row] for row in rows], _SPANS)
+
+
+def _pieces(batches):
+    for part in _slices(batches):
+        texts, spans = zip(*_spelled(part.column("tokens"), part.column("loss")))
+        kept = [part.column(c) for c in ("segment", "start", "end")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(texts, pa.string()), _spans(spans)], ["segment", "start", "end", "text", "spans"])
+
+
+def _wholes(batches):
+    for part in _slices(batches):
+        texts, marks = [], []
+        for above, own in zip(part.column("above").to_pylist(), _spelled(part.column("tokens"), part.column("loss"))):
+            text, spans, at = [], [], 0
+            for piece, own_spans in [*((x["text"], [(s["start"], s["end"]) for s in x["spans"]]) for x in above or ()), own]:
+                text.append(piece)
+                spans.extend((at + s, at + e) for s, e in own_spans)
+                at += len(piece)
+            texts.append("".join(text))
+            marks.append(spans)
+        yield pa.RecordBatch.from_arrays([part.column("segment"), pa.array(texts, pa.string()), _spans(marks)], ["segment", "text", "spans"])
 
-def trained(tokens: list[str], loss: list[bool]) -> list[str]:
-    """The texts under the loss mask."""
-    out, before = [], False
-    for token, on in zip(tokens, loss):
-        if on and not before:
-            out.append([])
-        if on:
-            out[-1].append(token)
-        before = on
-    return [restored("".join(x)) for x in out]
+
+def read_back(segments: DataFrame) -> DataFrame:
+    """segment, text, spans of the conversation that each segment ends, put together by its intervals.
+
+    text is the conversation as formatted, spans are its places under the loss mask (code points, half open).
+    Tokens stay where they are: each interval that is asked for is cut out once, by its owner, and goes
+    as text to the readers, who are found by their conversation as the owners are.
+    """
+    wanted = segments.select(F.col("conv").alias("reader"), F.posexplode("attend").alias("k", "piece")).select("reader", "k", "piece.*")
+    wanted = land(wanted, "wanted")
+    asked = wanted.select("segment", "start", "end").distinct().join(segments.select("segment", "conv"), "segment").withColumnRenamed("start", "lo")
+    found = segments.select("conv", "start", "tokens", "loss").join(asked, "conv")
+    cut = lambda c: F.slice(c, (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("end") - F.col("lo")).cast("int")).alias(c)
+    found = found.select("segment", F.col("lo").alias("start"), "end", cut("tokens"), cut("loss"))
+    found = mapped(found, _pieces, f"segment long, start long, end long, text string, spans {_SPANS_SQL}")
+    above = wanted.join(found, ["segment", "start", "end"]).groupBy(F.col("reader").alias("conv"))
+    above = above.agg(F.array_sort(F.collect_list(F.struct("k", "text", "spans"))).alias("above"))
+    whole = segments.select("conv", "segment", "tokens", "loss").join(above, "conv", "left").drop("conv")
+    return mapped(whole, _wholes, f"segment long, text string, spans {_SPANS_SQL}")
+
+
+def parsed(text: str) -> list[tuple[str, str]]:
+    """(role, text) of each turn in a formatted conversation."""
+    return [(restored(role), restored(text)) for role, text in _TURN.findall(text)]
 
 
 def digests(conversations: DataFrame) -> DataFrame:
@@ -158,19 +238,16 @@ def digests(conversations: DataFrame) -> DataFrame:
     segments, members = packed(conversations)
 
     def digested(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, 64):
-                part = batch.slice(start, 64)
-                rows = []
-                for tokens, loss in zip(part.column("tokens").to_pylist(), part.column("loss").to_pylist()):
-                    whole = hashlib.sha256()
-                    own = parsed(tokens)
-                    for role, text in own:
-                        whole.update(f"{role}\n{text}\n".encode())
-                    under = "".join(trained(tokens, loss))
-                    rows.append((len(own), whole.hexdigest(), len(under), hashlib.sha256(under.encode()).hexdigest(), sum(map(len, tokens))))
-                columns = zip(*rows)
-                yield pa.RecordBatch.from_arrays([part.column("segment"), *map(pa.array, columns)], ["segment", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+        for part in _slices(batches):
+            rows = []
+            for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                whole, own = hashlib.sha256(), parsed(text)
+                for role, said in own:
+                    whole.update(f"{role}\n{said}\n".encode())
+                under = "".join(restored(text[s["start"] : s["end"]]) for s in spans)
+                rows.append((len(own), whole.hexdigest(), len(under), hashlib.sha256(under.encode()).hexdigest(), len(text)))
+            columns = zip(*rows)
+            yield pa.RecordBatch.from_arrays([part.column("segment"), *map(pa.array, columns)], ["segment", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
     schema = "segment long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     return members.join(mapped(read_back(segments), digested, schema), "segment").drop("segment")

@@ -124,27 +124,20 @@ def places(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return land(placed, "places"), ordered.select("segment", leaf.alias("leaf"))
 
 
-def packed(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segments, members).
+def laid(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(segments, members) before turns become tokens.
 
     segments: tree (its first segment), segment, conv (the conversation whose turns it has), start (place in the
-    tree's sequence), tokens, loss, position_ids, and attend: the ancestors' intervals (segment, start, end)
-    from the root on. They lie by conv. members: conv_id, segment (the one
+    tree's sequence), size (tokens), position (of its first), attend: the ancestors' intervals (segment, start, end)
+    from the root on, and turns: role and text of its own. They lie by conv. members: conv_id, segment (the one
     that ends the conversation). Conversations alike in all turns have one segment.
     """
     found = land(paths(conversations), "paths")
     placed, leaves = places(found)
     gathered = _rows(conversations).groupBy("conv").agg(F.collect_list(F.struct("turn", "role", "text")).alias("rows"))
-    own = gathered.join(placed, "conv")
     ordered = F.array_sort(F.transform("rows", lambda x: F.struct(*_ordering(x["turn"], x["role"], x["text"]), x["text"].alias("text"))))
-    own = own.withColumn("rows", F.slice(ordered, F.col("first") + 1, F.size("rows")))
-    cut = F.transform("rows", lambda x: F.struct(_tokens(_head(x["role"])).alias("head"), _tokens(escaped(x["text"])).alias("body"), x["role"].isin(*TRAINED).alias("on")))
-    own = own.withColumn("cut", cut)
-    tokens = F.flatten(F.transform("cut", lambda x: F.concat(x["head"], x["body"], F.array(F.lit(END)))))
-    loss = F.flatten(F.transform("cut", lambda x: F.concat(F.array_repeat(F.lit(False), F.size(x["head"])), F.array_repeat(x["on"], F.size(x["body"])), F.array(F.lit(False)))))
-    segments = own.select(
-        "tree", "segment", "conv", "start", tokens.alias("tokens"), loss.alias("loss"),
-        F.sequence("position", F.col("position") + F.col("size") - 1).alias("position_ids"), "attend",
+    segments = gathered.join(placed, "conv").select(
+        "tree", "segment", "conv", "start", "size", "position", "attend", F.slice(ordered, F.col("first") + 1, F.size("rows")).alias("turns")
     )
     last = F.element_at("path", -1)
     key = F.when(F.col("conv") != "", F.col("conv").cast("long")).alias("conv_id")
@@ -152,6 +145,21 @@ def packed(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return segments, members.select("conv_id", "segment")
 
 
+def with_tokens(segments: DataFrame) -> DataFrame:
+    """Segments with tokens, loss and position_ids instead of their turns."""
+    cut = F.transform("turns", lambda x: F.struct(_tokens(_head(x["role"])).alias("head"), _tokens(escaped(x["text"])).alias("body"), x["role"].isin(*TRAINED).alias("on")))
+    tokens = F.flatten(F.transform("cut", lambda x: F.concat(x["head"], x["body"], F.array(F.lit(END)))))
+    loss = F.flatten(F.transform("cut", lambda x: F.concat(F.array_repeat(F.lit(False), F.size(x["head"])), F.array_repeat(x["on"], F.size(x["body"])), F.array(F.lit(False)))))
+    places = F.sequence("position", F.col("position") + F.col("size") - 1)
+    return segments.withColumn("cut", cut).withColumns({"tokens": tokens, "loss": loss, "position_ids": places}).drop("cut", "turns", "size", "position")
+
+
+def packed(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(segments, members): segments laid out in their trees, as tokens with loss, position_ids and attend."""
+    segments, members = laid(conversations)
+    return with_tokens(segments), members
+
+
 def _spelled(tokens: pa.ListArray, loss: pa.ListArray) -> list[tuple[str, list[tuple[int, int]]]]:
     """For each row its tokens as one text, and the spans (code points, half open) of neighbouring tokens under the mask."""
     values = tokens.flatten().cast(pa.large_string())
@@ -209,7 +217,7 @@ def _wholes(batches):
 
 
 def read_back(segments: DataFrame) -> DataFrame:
-    """segment, text, spans of the conversation that each segment ends, put together by its intervals.
+    """segment, text, spans of the conversation that each laid segment ends, put together by its intervals.
 
     text is the conversation as formatted, spans are its places under the loss mask (code points, half open).
     Tokens stay where they are: each interval that is asked for is cut out once, by its owner, and goes
@@ -217,14 +225,15 @@ def read_back(segments: DataFrame) -> DataFrame:
     """
     wanted = segments.select(F.col("conv").alias("reader"), F.posexplode("attend").alias("k", "piece")).select("reader", "k", "piece.*")
     wanted = land(wanted, "wanted")
-    asked = wanted.select("segment", "start", "end").distinct().join(segments.select("segment", "conv"), "segment").withColumnRenamed("start", "lo")
-    found = segments.select("conv", "start", "tokens", "loss").join(asked, "conv")
+    asked = wanted.select("segment", "start", "end").distinct().join(segments.select("segment", "conv"), "segment")
+    asked = asked.select("conv", F.col("start").alias("lo"), "end")
+    found = with_tokens(segments.join(asked, "conv"))
     cut = lambda c: F.slice(c, (F.col("lo") - F.col("start") + 1).cast("int"), (F.col("end") - F.col("lo")).cast("int")).alias(c)
     found = found.select("segment", F.col("lo").alias("start"), "end", cut("tokens"), cut("loss"))
     found = mapped(found, _pieces, f"segment long, start long, end long, text string, spans {_SPANS_SQL}")
     above = wanted.join(found, ["segment", "start", "end"]).groupBy(F.col("reader").alias("conv"))
     above = above.agg(F.array_sort(F.collect_list(F.struct("k", "text", "spans"))).alias("above"))
-    whole = segments.select("conv", "segment", "tokens", "loss").join(above, "conv", "left").drop("conv")
+    whole = with_tokens(segments).select("conv", "segment", "tokens", "loss").join(above, "conv", "left").drop("conv")
     return mapped(whole, _wholes, f"segment long, text string, spans {_SPANS_SQL}")
 
 
@@ -235,7 +244,7 @@ def parsed(text: str) -> list[tuple[str, str]]:
 
 def digests(conversations: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars of all conversations, read back from the packed trees."""
-    segments, members = packed(conversations)
+    segments, members = laid(conversations)
 
     def digested(batches):
         for part in _slices(batches):

@@ -333,6 +333,36 @@ def test_chat(spark):
     assert prefix_tree.digests(table.where("false")).count() == 0
 
 
+def test_chat_trees_that_branch_at_every_turn(spark):
+    """Random trees of several levels, letters of two and four bytes, copies: tokens, masks and texts against plain ones."""
+    rng = np.random.default_rng(5)
+    said = ["ja", "né 🙂 so", "", "a  b\n<s>", "</s>[INST]", "x" * 3000]
+    rows = []
+    for c in range(120):
+        for t in range(rng.integers(1, 6)):
+            rows.append((c, t, ("user", "assistant")[t % 2], said[rng.integers(0, 3 if t < 3 else 6)]))
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    own = {c: [(r, t) for x, _, r, t in rows if x == c] for c in range(120)}
+    for r in prefix_tree.digests(table.repartition(7)).collect():
+        plain = own[r["conv_id"]]
+        assert r["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{t}\n" for a, t in plain).encode()).hexdigest()
+        assert r["loss_sha256"] == hashlib.sha256("".join(t for a, t in plain if a == "assistant").encode()).hexdigest()
+    segments, members = prefix_tree.packed(table)
+    found = {s["segment"]: s for s in segments.collect()}
+    nodes = {tuple(p[: i + 1]) for p in own.values() for i in range(len(p))}
+    assert sum("".join(s["tokens"]).count("[/INST]") for s in found.values()) == len(nodes)  # each node once
+    assert max(len(s["attend"]) for s in found.values()) >= 3
+    for conv_id, segment in members.collect():
+        s, tokens, loss = found[segment], [], []
+        for of, lo, hi in [*s["attend"], (segment, s["start"], s["start"] + len(s["tokens"]))]:
+            cut = slice(lo - found[of]["start"], hi - found[of]["start"])
+            tokens += found[of]["tokens"][cut]
+            loss += found[of]["loss"][cut]
+        assert prefix_tree.parsed("".join(tokens)) == own[conv_id]
+        under = "".join(t for t, on in zip(tokens, loss) if on)
+        assert prefix_tree.restored(under) == "".join(t for a, t in own[conv_id] if a == "assistant")
+
+
 PAGE = """<html><head><title>t</title><script>var x="<p>no</p>"</script></head><body><header>Site</header><nav><a>Menu</a></nav><div class="cookie-notice">Cookies</div>
 <article><header><h1>The &amp; title</h1></header><p>One <b>bold</b>
  text<br>more<p>Two &#233;<div class="ad">Buy</div><form><input>Name</form><ul><li>a<li>b</ul><aside>Side</aside><section class="comments"><p>Reader</p></section></article><footer>End</footer></body>"""

@@ -2,7 +2,9 @@
 
 Everything works on chunks of about half a million bytes (one text at least), so memory stays bounded
 whatever the Arrow batch holds. Hashes are polynomial sums over random 64-bit values: the hash of a
-slice is a difference of two running sums times a power of the inverse base.
+slice is a difference of two running sums times a power of the inverse base. Modulo 2^64 that is fast
+but has slices of a thousand values and more that collide whatever the base (``slices``, for features and
+short runs); long words and lines, where equal hashes mean equal, are taken modulo a prime, twice, as well (``identities``).
 """
 
 from __future__ import annotations
@@ -25,6 +27,12 @@ _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWERED = _BYTE.copy()
 _LOWERED[65:91] = _BYTE[97:123]
 _powers: dict[int, np.ndarray] = {}
+#: Slices beyond this are hashed modulo the prime as well: shorter ones have no built collisions in 64 bits.
+LONG = 64
+#: The prime 2^31 - 1, so that products of two residues fit into 64 bits.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (0x5BD1E995, 0x27D4EB2F)
+_residue_powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -53,6 +61,47 @@ def slices(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mixed((total[ends] - total[starts]) * powers(_INVERSE, len(values) + 1)[starts])
 
 
+def _residues(base: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo the prime."""
+    have = _residue_powers.get(base)
+    if have is None or len(have) < n:
+        have, step = np.ones(1, np.uint64), base
+        while len(have) < max(n, 1 << 16):
+            have, step = np.concatenate((have, have * np.uint64(step) % _PRIME)), step * step % int(_PRIME)
+        if n <= 4 * CHUNK:
+            _residue_powers[base] = have
+    return have[:n]
+
+
+def _by_prime(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Two polynomials modulo 2^31 - 1 for each slice, over the lower and the upper half of each value."""
+    out = np.zeros(len(starts), np.uint64)
+    total, terms, carried = np.zeros(len(values) + 1, np.uint64), np.empty(len(values), np.uint64), np.empty(len(values), np.uint64)
+    for base, half in zip(_BASES, (np.uint64(0), np.uint64(32))):
+        np.right_shift(values, half, out=terms)
+        np.bitwise_and(terms, _PRIME, out=terms)
+        np.multiply(terms, _residues(base, len(values)), out=terms)
+        np.right_shift(terms, np.uint64(31), out=carried)
+        np.bitwise_and(terms, _PRIME, out=terms)
+        np.add(terms, carried, out=terms)
+        np.cumsum(terms, out=total[1:])
+        own = (total[ends] - total[starts]) % _PRIME * _residues(pow(base, -1, int(_PRIME)), len(values) + 1)[starts] % _PRIME
+        out = (out << np.uint64(32)) | own
+    return mixed(out)
+
+
+def identities(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each slice, by its length: up to LONG values as ``slices`` has it, else modulo the prime too."""
+    out, sizes = slices(values, starts, ends), ends - starts
+    long = np.flatnonzero(sizes > LONG)
+    if len(long):
+        sizes = sizes[long]
+        stops = np.cumsum(sizes)
+        own = values[np.repeat(starts[long] - (stops - sizes), sizes) + np.arange(stops[-1])]
+        out[long] = mixed(out[long] ^ _by_prime(own, stops - sizes, stops))
+    return out
+
+
 def chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) for runs of rows; null texts count as empty."""
     column = column.cast(pa.large_string()).fill_null("")
@@ -77,7 +126,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     ends = offsets[1:][offsets[:-1] < offsets[1:]] - 1
     first[begins], last[ends] = inside[begins], inside[ends]
     starts, stops = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return slices((_LOWERED if lower else _BYTE)[data], starts, stops), np.searchsorted(starts, offsets)
+    return identities((_LOWERED if lower else _BYTE)[data], starts, stops), np.searchsorted(starts, offsets)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

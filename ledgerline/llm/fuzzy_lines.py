@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import strip
-from ledgerline.llm.arrays import mixed, powers, slices
+from ledgerline.llm.arrays import identities, mixed, powers
 from ledgerline.llm.arrays import _BASE, _INVERSE
 from ledgerline.llm.linking import bitmap, components, link, marked, maybe
 from ledgerline.llm.shipping import mapped
@@ -69,7 +69,7 @@ def _windows(values: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarra
 
 def line_ids(lines: list[str]) -> np.ndarray:
     values, offsets = _values(lines)
-    return slices(values, offsets[:-1], offsets[1:]).view(np.int64)
+    return identities(values, offsets[:-1], offsets[1:]).view(np.int64)
 
 
 def bands(lines: list[str], k: int = SHINGLE) -> np.ndarray:

@@ -6,10 +6,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, fuzzy_lines, grades, graph_ann, linking, main_text, mixing, prefix_join, prefix_tree, syncmers, warc
+from ledgerline.llm import arrays, bpe, fuzzy_lines, grades, graph_ann, linking, main_text, mixing, prefix_join, prefix_tree, syncmers, warc
 from ledgerline.llm.queries import vocabulary_path
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, target string, key long"
@@ -92,6 +93,37 @@ def test_ngram_join_of_copies_at_the_threshold(spark):
     assert found == {i: find(i) for i in range(len(texts))}
 
 
+def _mirrored(n: int) -> list[str]:
+    """Two words of n letters whose polynomial hashes modulo 2^64 are equal for every odd base, if n is 1,024 or more."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+
+
+def test_built_words_and_lines_stay_apart(spark):
+    first, second = _mirrored(2048)
+    assert len(set(fuzzy_lines.line_ids([first, second, first]).tolist())) == 2
+    texts = pa.array([f"{first} {second} é {first}", second, ""]).cast(pa.large_string())
+    (_, data, offsets), = arrays.chunks(texts)
+    own, at = arrays.words(data, offsets)
+    assert list(at) == [0, 4, 5, 5] and own[0] == own[3] and own[1] == own[4] and len(set(own.tolist())) == 3
+    docs = spark.createDataFrame([(1, first), (2, second), (3, first.upper())], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in prefix_join.similar_documents(docs, 4, 85).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_identities_follow_content():
+    draw = np.random.default_rng(3)
+    values = draw.integers(0, 1 << 64, 5, dtype=np.uint64)[draw.integers(0, 5, 70_000)]
+    starts = draw.integers(0, 69_000, 4_000)
+    ends = starts + draw.integers(0, 140, 4_000)  # on both sides of LONG
+    found = {}
+    for h, s, e in zip(arrays.identities(values, starts, ends).tolist(), starts, ends):
+        found.setdefault(h, set()).add(values[s:e].tobytes())
+    assert all(len(x) == 1 for x in found.values())
+    assert len(found) == len({values[s:e].tobytes() for s, e in zip(starts, ends)})
+    assert arrays.identities(values[:0], np.zeros(1, int), np.zeros(1, int)).tolist() == arrays.identities(values, np.zeros(1, int), np.zeros(1, int)).tolist()
+
+
 def test_links_lose_nothing_and_list_no_group(spark):
     rows = [(k, i) for k in range(3) for i in range(40)] + [(9, 3), (9, 77)]
     table = spark.createDataFrame(rows, "key long, id long").selectExpr("key", "id", "10 n", "9 rest")

@@ -1,6 +1,9 @@
 """The corpus derived from the tables."""
 
+import time
+
 from ledgerline.plans import corpus as corpora
+from ledgerline.sources.landing import PASSING, land
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -17,3 +20,48 @@ def test_line_numbers_skip_at_most_the_two_totals(spark):
     lines = corpora.corpus(spark, FOLDER).lines()
     bad = lines.groupBy("file_id").agg({"line_no": "max", "*": "count"}).filter("`max(line_no)` >= `count(1)` + 2")
     assert bad.count() == 0
+
+
+def test_texts_are_made_after_the_last_shuffle(spark):
+    body = corpora.Corpus(spark, FOLDER)._body()
+    plan = body._jdf.queryExecution().executedPlan().toString()
+    above, *below = plan.split("Exchange")
+    assert "SH SOLE" in above and not any("SH SOLE" in part for part in below)
+
+
+def test_filings_under_one_key_have_the_totals_of_its_lines(spark, tmp_path):
+    import datetime as dt
+
+    when = dt.datetime(1994, 5, 6)
+    tables = {
+        "orders": ([(2, 7, when), (2, 8, when), (3, 7, when), (None, 7, when)], "o_orderkey long, o_custkey long, o_orderdate timestamp"),
+        "customer": ([(7, "Seven"), (8, "Eight")], "c_custkey long, c_name string"),
+        "part": ([(1, "one"), (4, "four"), (4, "vier")], "p_partkey long, p_name string"),
+        "lineitem": (
+            [(2, n, p, 5, 3.0, 10.5 + n, 0.0, 0.0, "R", "F", when) for n, p in ((1, 1), (2, 4), (3, 99))] + [(None, 1, 1, 5, 3.0, 9.0, 0.0, 0.0, "R", "F", when)],
+            "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+            "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    found = corpora.Corpus(spark, str(tmp_path)).lines().collect()
+    for filing in ("8_1994-05-06_3", "9_1994-05-06_3"):
+        lines = sorted((r["line_no"], r["line"]) for r in found if r["file_id"] == filing)
+        # One line for each name of a part, none for a part that is not there.
+        assert [n for n, _ in lines if n > 12] == [13, 14, 14, 16]
+        assert dict(lines)[10].endswith("Total:  3") and dict(lines)[11].endswith("$ 0,035")
+    assert max(r["line_no"] for r in found if r["file_id"] == "8_1994-05-06_4") == 13
+
+
+def test_landing_leaves_no_shuffle_files(spark):
+    def kept():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+    before = kept()
+    land(spark.range(1000).repartition(5, "id"), "dealt")
+    deadline = time.time() + 10
+    while kept() > before and time.time() < deadline:
+        time.sleep(0.2)
+    assert kept() <= before
+    assert spark.conf.get(PASSING) == "false"

@@ -2,6 +2,7 @@
 
 import time
 
+from ledgerline.operators.header import header_events, header_fields, header_values
 from ledgerline.plans import corpus as corpora
 from ledgerline.sources.landing import PASSING, land
 
@@ -65,3 +66,23 @@ def test_landing_leaves_no_shuffle_files(spark):
         time.sleep(0.2)
     assert kept() <= before
     assert spark.conf.get(PASSING) == "false"
+
+
+def test_headers_are_dealt_by_chunk_once(spark):
+    lines = corpora.corpus(spark, FOLDER).lines()
+    events = land(header_events(lines), "events")
+    plan = header_values(events)._jdf.queryExecution().executedPlan().toString()
+    dealt = [part for part in plan.split("\n") if "Exchange hashpartitioning" in part]
+    # The events and what tells where to stop by chunk, the stops and one row a chunk by filing.
+    assert len(dealt) <= 4
+
+
+def test_totals_over_several_chunks(spark):
+    text = ["<SEC-HEADER>", "FORM 13F INFORMATION TABLE ENTRY TOTAL: 4", "Form 13F Information Table Entry Total: 5", "CIK: 1",
+            "FORM 13F INFORMATION TABLE ENTRY TOTAL: ", "x", "Form 13F Information Table Entry Total: 7", "CIK: 2",
+            "Form 13F Information Table Entry Total: 8", "</SEC-HEADER>", "CIK: 3"]
+    lines = spark.createDataFrame([("f", i, line) for i, line in enumerate(text)], "file_id string, line_no int, line string")
+    files = spark.createDataFrame([("f",), ("g",)], "file_id string")
+    want = {tuple(r) for r in header_fields(files, lines).collect()}
+    assert {tuple(r) for r in header_fields(files, lines, 2).collect()} == want
+    assert {tuple(r) for r in header_fields(files, lines, 3).collect()} == want

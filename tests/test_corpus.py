@@ -4,6 +4,7 @@ import time
 
 from ledgerline.operators.header import header_events, header_fields, header_values
 from ledgerline.plans import corpus as corpora
+from ledgerline.sources import landing
 from ledgerline.sources.landing import PASSING, land
 
 FOLDER = "/root/testdata/sf0.001"
@@ -86,3 +87,11 @@ def test_totals_over_several_chunks(spark):
     want = {tuple(r) for r in header_fields(files, lines).collect()}
     assert {tuple(r) for r in header_fields(files, lines, 2).collect()} == want
     assert {tuple(r) for r in header_fields(files, lines, 3).collect()} == want
+
+
+def test_landed_files_have_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "LANDED_ROWS", 100)
+    landing.land_more(spark.range(250, numPartitions=1), str(tmp_path / "rows"))
+    both = landing.land_more(spark.range(250, 500, numPartitions=1), str(tmp_path / "rows"))
+    assert both.count() == 500
+    assert max(r["count"] for r in both.groupBy("_metadata.file_path").count().collect()) == 100

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.eligible import eligible_rows, sieve, sifted
+from ledgerline.operators.layout import cut_positions, profile, split_on_id
 from ledgerline.sources.landing import land
 from tests.test_plans import plan_of
 
@@ -36,3 +37,13 @@ def test_only_lines_with_a_likely_word_are_shuffled(unaided):
     # The line goes to the dictionary with its words; the lines are not read again to be joined.
     assert plan.count("SortMergeJoin") == 1 and "SortMergeJoin [key" in plan and plan.count("line#") and plan.count("regexp_extract_all(") <= 2 * plan.count("FileScan")
     assert "SortMergeJoin [file_id" not in plan
+
+
+def test_positions_are_dealt_once_by_filing(unaided):
+    rows = [("f", chunk, chunk * 10 + i, "037833100", f"APPLE   COM 037833100 {i}   7") for chunk in range(3) for i in range(5)] + [("g", 0, 1, "037833100", "037833100")]
+    eligible = land(unaided.createDataFrame(rows, "file_id string, chunk int, line_no int, cusip string, line string"), "dealt").repartition("file_id", "chunk")
+    profiles = profile(cut_positions(split_on_id(eligible)))
+    got = {r["file_id"]: (r["last_chunk"], r["n_lines"], r["n_split"], r["name_cut"], r["layout"]) for r in profiles.collect()}
+    assert got == {"f": (2, 15, 15, 6, "fixed"), "g": (0, 1, 1, None, "garbage")}
+    # The lines by chunk, then their counts by filing.
+    assert plan_of(profiles).count("Exchange hashpartitioning") == 2

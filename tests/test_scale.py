@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators.eligible import eligible_rows, sieve, sifted
 from ledgerline.operators.layout import cut_positions, profile, split_on_id
+from ledgerline.plans import corpus as corpora
+from ledgerline.plans.corpus import Corpus
 from ledgerline.sources.landing import land
 from tests.test_plans import plan_of
 
@@ -47,3 +49,19 @@ def test_positions_are_dealt_once_by_filing(unaided):
     assert got == {"f": (2, 15, 15, 6, "fixed"), "g": (0, 1, 1, None, "garbage")}
     # The lines by chunk, then their counts by filing.
     assert plan_of(profiles).count("Exchange hashpartitioning") == 2
+
+
+def test_names_of_many_parts_come_before_the_numbers(unaided, monkeypatch, tmp_path):
+    """Items without a part count for the numbers, parts that are repeated or have no name give a line each."""
+    items = [(1, n, part, 5, 10.0 + n, 100.0 * n, "R", "O", 0.0, 0.0, f"1998-01-0{n}") for n, part in ((1, 7), (2, None), (3, 8), (4, 9), (5, 6))] + [(2, 1, 9, 5, 1.0, 2.0, "N", "O", 0.0, 0.0, "1998-01-01")] * 2
+    schema = "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_discount double, l_tax double, l_shipdate string"
+    unaided.createDataFrame(items, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    unaided.createDataFrame([(7, "red"), (9, "blue"), (9, "green"), (6, None), (None, "none")], "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    few = Corpus(unaided, str(tmp_path))._holdings()
+    monkeypatch.setattr(corpora, "BROADCAST_PARTS", 0)
+    many = Corpus(unaided, str(tmp_path))._holdings()
+    assert sorted(map(str, many.collect())) == sorted(map(str, few.select(many.columns).collect()))
+    assert {(r["k"], r["rn"], r["nm"]) for r in many.collect()} == {(1, 1, "RED"), (1, 4, "BLUE"), (1, 4, "GREEN"), (1, 5, None), (2, 1, "BLUE"), (2, 1, "GREEN"), (2, 2, "BLUE"), (2, 2, "GREEN")}
+    assert few.columns == many.columns
+    # Parts by key, items by part, items by filing.
+    assert plan_of(many).count("Exchange hashpartitioning") == 3

@@ -48,7 +48,7 @@ def test_positions_are_dealt_once_by_filing(unaided):
     got = {r["file_id"]: (r["last_chunk"], r["n_lines"], r["n_split"], r["name_cut"], r["layout"]) for r in profiles.collect()}
     assert got == {"f": (2, 15, 15, 6, "fixed"), "g": (0, 1, 1, None, "garbage")}
     # The lines by chunk, then their counts by filing.
-    assert plan_of(profiles).count("Exchange hashpartitioning") == 2
+    assert plan_of(profile(cut_positions(split_on_id(eligible)))).count("Exchange hashpartitioning") == 2
 
 
 def test_names_of_many_parts_come_before_the_numbers(unaided, monkeypatch, tmp_path):
@@ -64,4 +64,4 @@ def test_names_of_many_parts_come_before_the_numbers(unaided, monkeypatch, tmp_p
     assert {(r["k"], r["rn"], r["nm"]) for r in many.collect()} == {(1, 1, "RED"), (1, 4, "BLUE"), (1, 4, "GREEN"), (1, 5, None), (2, 1, "BLUE"), (2, 1, "GREEN"), (2, 2, "BLUE"), (2, 2, "GREEN")}
     assert few.columns == many.columns
     # Parts by key, items by part, items by filing.
-    assert plan_of(many).count("Exchange hashpartitioning") == 3
+    assert plan_of(Corpus(unaided, str(tmp_path))._holdings()).count("Exchange hashpartitioning") == 3

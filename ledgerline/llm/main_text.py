@@ -1,21 +1,28 @@
-"""Main text of web pages: page structure first, then what a host repeats.
+"""Main text of web pages: a suffix order of each host's tokens, and page structure.
 
 A page is read once into blocks of text. Blocks inside menus, footers, asides, forms, adverts, notices,
-comments and the like are left out by their elements, roles and class names. Blocks of the article
-(or, without one, of the main element; or of one that stands in an element left out by its name) are the text.
-A class name or id counts as a whole: all of its words must be known, so "related-work" and "no-sidebar" do not. A page that marks neither is decided by its host:
-runs of at least ``RUN`` tokens that stand on two of the host's pages or more are boilerplate, and only
-blocks that are mostly unique stay.
-
-The beginnings of all suffixes (hashes of ``RUN`` tokens) of a whole host are grouped in a shuffle, each with the
-smallest and the largest of its pages, and those that differ are joined back; no task holds a host. Pages of
-equal content are one page there: copies keep their text. Null html is empty; a page without text gives "".
+comments and the like are left out by their elements, roles and class names. A class name or id counts as a whole: all
+of its words must be known, so "related-work" and "no-sidebar" do not.
+
+The token suffixes of all pages of a host are ordered by prefix doubling: suffixes that begin with the same tokens have
+one rank, ranks are shuffled, and only suffixes that share theirs with another page go on to twice the length, until
+none does. Runs of at least ``RUN`` tokens that stand on two of the host's pages are boilerplate. Those are found among
+few suffixes: each run holds an anchor, the least of the hashes of its ``ANCHOR`` neighbouring tokens, which is the same wherever
+the run stands, so runs whose anchor is on one page only are left out before they are shuffled. No task holds a host.
+
+Structure comes second. Blocks of the article (or, without one, of the main element; or of one that stands in an element
+left out by its name) are the text, and what they share with other pages stays: equal articles are no boilerplate.
+In an article, blocks of an element whose name ends in a known word ("main-nav") lose their repeated runs. A page
+that marks neither article nor main element loses them in all of its blocks; tokens beside a run stay.
+
+Pages of equal content are one page there: copies keep their text. Null html is empty; a page without text gives "".
 A null url belongs to a host of its own name. Repeated rows are rows of their own and not two pages.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 from html.parser import HTMLParser
 
 import numpy as np
@@ -25,14 +32,18 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.arrays import mixed, slices
 from ledgerline.llm.fuzzy_lines import _values
-from ledgerline.llm.linking import maybe
+from ledgerline.llm.linking import bitmap, marked
 from ledgerline.llm.shipping import mapped
 from ledgerline.sources.landing import land
 
 #: Tokens of a run that is boilerplate when it is repeated (a power of two).
 RUN = 8
-#: A block goes if more of it than this is repeated.
-COVERED = 0.5
+#: Tokens of an anchor.
+ANCHOR = RUN // 2
+#: Anchors are dealt in so many passes, one after the other, so that not all of them are on disk at once.
+PASSES = 2
+#: Code points whose suffixes are made at once.
+CHUNK = 300_000
 
 # Element names, roles and words of class names.
 LEFT_OUT = {
@@ -52,6 +63,8 @@ BESIDE = {
     "list", "media", "message", "outer", "panel", "posts", "primary", "reply", "right", "secondary", "section", "site", "slot", "stories", "text", "thread", "title", "top", "unit",
     "wrap", "wrapper",
 }
+#: Words that keep a name from ending in what the element is ("content-with-menu").
+BEFORE = {"no", "not", "non", "without", "with", "has", "hide", "hidden", "on", "in", "and", "under", "below", "after"}
 #: Words of names in which articles are not the page's.
 OTHERS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion", "comment", "comments", "respond", "disqus", "related", "recommended"}
 #: Elements that take no meaning from an id in an article, where ids are made from headings.
@@ -69,21 +82,32 @@ ENDS_PARAGRAPH = HOLDERS - {"td", "th", "body"} | {"h1", "h2", "h3", "h4", "h5",
 
 #: NAMED_OUT: left out by its name, so that an article or main element in it is INNER.
 OUT, ARTICLE, MAIN, OTHER, INNER, NAMED_OUT = 0, 1, 2, 3, 4, 5
+#: Added to ARTICLE, MAIN and INNER in an element whose name ends in a known word.
+DOUBT = 8
 
 _NAME_PARTS = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
+def _parts(name: str) -> list[str]:
+    return [p for x in _NAME_PARTS.split(name) if not x[:1].isdigit() and (p := x.lower().rstrip("0123456789"))]
+
+
 def _named(names: str) -> set[str]:
     """The words of WORDS, and header, in those names all of whose words are known ("cookie-notice", "adSlot2"; not "related-work")."""
     found = set()
     for name in names.split():
-        parts = {x.lower().rstrip("0123456789") for x in _NAME_PARTS.split(name) if not x[:1].isdigit()} - {""}
+        parts = set(_parts(name))
         own = parts & (WORDS | {"header"})
         if own and parts <= WORDS | BESIDE | ({"header", "page", "main"} if "header" in own else set()):
             found |= own
     return found
 
 
+def _doubtful(names: str) -> bool:
+    """Whether a name ends in one of WORDS after others ("main-nav", "google-ads"; not "content-with-menu")."""
+    return any(len(parts) > 1 and parts[-1] in WORDS and not set(parts) & BEFORE for parts in map(_parts, names.split()))
+
+
 class _Blocks(HTMLParser):
     """Collects (kind, text) of a page's blocks."""
 
@@ -102,7 +126,7 @@ class _Blocks(HTMLParser):
             self.parts = []
 
     def kind_of(self, tag: str, attributes: dict[str, str | None]) -> int:
-        above = self.open[-1][1]
+        above, doubt = self.open[-1][1] & ~DOUBT, self.open[-1][1] & DOUBT
         if above == OUT or tag in LEFT_OUT or "hidden" in attributes or attributes.get("aria-hidden") == "true":
             return OUT
         role = (attributes.get("role") or "").lower()
@@ -120,13 +144,15 @@ class _Blocks(HTMLParser):
                 return OUT
             if words & WORDS or "header" in words and not inside:
                 return NAMED_OUT
+            if inside and tag not in INLINE and _doubtful(names):
+                doubt = DOUBT
         elif tag == "article" and _named(attributes.get("class") or "") & {"comment", "comments", "ad", "advert", "sponsored", "related"}:
             return OUT
         if tag == "article" or role == "article" or attributes.get("itemprop") == "articleBody":
             return INNER if above in (NAMED_OUT, INNER) else ARTICLE
         if tag == "main" or role == "main":
             return {OTHER: MAIN, NAMED_OUT: INNER}.get(above, above)
-        return above
+        return above | doubt
 
     def close_to(self, at: int) -> None:
         del self.open[at:]
@@ -212,56 +238,124 @@ def repeated(tokens: np.ndarray, pages: np.ndarray) -> np.ndarray:
     return np.cumsum(change)[:n] > 0
 
 
+class _Suffixes:
+    """The tokens of some pages, and hashes of what their suffixes begin with; pages: the texts of each (not none)."""
+
+    def __init__(self, pages: list[list[str]], hosts: np.ndarray):
+        joined = [" ".join(texts) for texts in pages]
+        whole = " ".join(joined)
+        self.values, _ = _values([whole])
+        spaces = np.flatnonzero(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
+        self.begins, self.ends = np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(whole)]])
+        counts = np.array([x.count(" ") + 1 for x in joined])
+        self.page = np.repeat(np.arange(len(pages)), counts)
+        self.at = np.arange(len(self.page)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.salt = hosts.astype(np.int64).view(np.uint64)[self.page]
+
+    def hashes(self, length: int) -> np.ndarray:
+        """One for each run of so many tokens, apart by host; runs may go over the end of a page."""
+        if len(self.page) < length:
+            return np.zeros(0, np.uint64)
+        return mixed(slices(self.values, self.begins[: len(self.page) - length + 1], self.ends[length - 1 :]) ^ self.salt[: len(self.page) - length + 1])
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """(start, anchor) of each run of RUN tokens that lies in one page."""
+        own = self.hashes(ANCHOR)
+        n = max(0, len(self.page) - RUN + 1)
+        least = own[:n].copy()
+        for shift in range(1, RUN - ANCHOR + 1):
+            np.minimum(least, own[shift : shift + n], out=least)
+        starts = np.flatnonzero(self.page[:n] == self.page[RUN - 1 :]) if n else np.zeros(0, np.int64)
+        return starts, least[starts].view(np.int64)
+
+
 def page_runs(texts: list[str], host: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash, start) of all runs of RUN tokens of one page, and how many tokens each block has."""
-    page = " ".join(texts)
-    values, _ = _values([page])
-    spaces = np.flatnonzero(np.frombuffer(page.encode("utf-32-le", "surrogatepass"), np.uint32) == 32)
-    begins, ends = np.concatenate([[0], spaces + 1]), np.concatenate([spaces, [len(page)]])
-    lengths = np.array([t.count(" ") + 1 for t in texts], np.int64)
-    if len(begins) < RUN:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), lengths
-    hashes = mixed(slices(values, begins[: 1 - RUN], ends[RUN - 1 :]) ^ np.uint64(host % (1 << 64))).view(np.int64)
-    return hashes, np.arange(len(hashes), dtype=np.int32), lengths
+    hashes = _Suffixes([texts], np.array([host])).hashes(RUN).view(np.int64)
+    return hashes, np.arange(len(hashes), dtype=np.int32), np.array([t.count(" ") + 1 for t in texts], np.int64)
+
+
+def _suffixes(batch: pa.RecordBatch):
+    """(contents of the pages, their suffixes) of a batch's pages, in runs of about CHUNK code points."""
+    contents, hosts, texts = batch.column("content").to_numpy(), batch.column("host_id").to_numpy(), batch.column("texts").to_pylist()
+    start = 0
+    while start < len(texts):
+        stop, n = start, 0
+        while stop < len(texts) and n < CHUNK:
+            stop, n = stop + 1, n + sum(map(len, texts[stop]))
+        yield contents[start:stop], _Suffixes(texts[start:stop], hosts[start:stop])
+        start = stop
 
 
-def _runs(contents: DataFrame) -> DataFrame:
-    """run, content, at (where it starts) of all runs of the contents."""
+def _anchors(contents: DataFrame, turn: int) -> DataFrame:
+    """anchor, content of the runs of RUN tokens whose anchor is of this turn's; neighbouring runs of one anchor are one row."""
 
     def made(batches):
         for batch in batches:
-            for content, host, texts in zip(*(batch.column(c).to_pylist() for c in ("content", "host_id", "texts"))):
-                hashes, at, _ = page_runs(texts, host)
-                if len(at):
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(np.full(len(at), content, np.int64)), pa.array(at)], ["run", "content", "at"])
+            for own, suffixes in _suffixes(batch):
+                starts, anchors = suffixes.anchors()
+                of = own[suffixes.page[starts]]
+                new = anchors % PASSES == turn
+                new[1:] &= (anchors[1:] != anchors[:-1]) | (of[1:] != of[:-1])
+                yield pa.RecordBatch.from_arrays([pa.array(anchors[new]), pa.array(of[new])], ["anchor", "content"])
 
-    return mapped(contents, made, "run long, content long, at int")
+    return mapped(contents, made, "anchor long, content long")
 
 
-def kept_blocks(contents: DataFrame) -> DataFrame:
-    """content, kept (places of the blocks that stay) of contents that have runs another content of their host has too.
+def _anchored(contents: DataFrame, anchors: DataFrame) -> DataFrame:
+    """anchor, content, at, rank of the runs of RUN tokens whose anchor may be among anchors."""
+    sent = contents.sparkSession.sparkContext.broadcast(bitmap(anchors))
 
-    contents: content, host_id, texts; each content once.
+    def made(batches):
+        for batch in batches:
+            for own, suffixes in _suffixes(batch):
+                starts, found = suffixes.anchors()
+                held = marked(sent.value, found)
+                if held.any():
+                    starts = starts[held]
+                    columns = (found[held], own[suffixes.page[starts]], suffixes.at[starts].astype(np.int32), suffixes.hashes(RUN)[starts].view(np.int64))
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "content", "at", "rank"])
+
+    return mapped(contents, made, "anchor long, content long, at int, rank long")
+
+
+def _shared(rows: DataFrame, key: str) -> DataFrame:
+    """Those values of a column that two contents have."""
+    return rows.groupBy(key).agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select(key)
+
+
+def repeats(contents: DataFrame) -> DataFrame:
+    """content, at, length: token runs that another content of the same host has too, the longest found at each start.
+
+    contents: content, host_id, texts (not none); copies of a content are one. Lengths are doubled from RUN on, so a
+    longer run is covered by those of its starts.
     """
-    runs = _runs(contents)
-    repeated_runs = runs.groupBy("run").agg(F.min("content").alias("x"), F.max("content").alias("y")).where("x <> y").select("run")
-    repeated_runs = land(repeated_runs, "repeated_runs")
-    starts = maybe(runs, "run", repeated_runs).join(repeated_runs, "run").groupBy("content").agg(F.collect_list("at").alias("starts"))
+    anchors = reduce(DataFrame.union, [land(_shared(_anchors(contents, turn), "anchor"), "repeated_anchors") for turn in range(PASSES)])
+    ranked = _anchored(contents, anchors).join(anchors, "anchor", "left_semi").select("content", "at", "rank").distinct()
+    length, levels = RUN, []
+    while True:
+        ranked = land(ranked, "suffix_ranks")
+        tied = land(ranked.join(_shared(ranked, "rank"), "rank", "left_semi").select("content", "at", "rank"), "tied_suffixes")
+        levels.append(tied.select("content", "at", F.lit(length).alias("length")))
+        if tied.isEmpty():
+            break
+        after = tied.select("content", (F.col("at") - length).alias("at"), F.col("rank").alias("after"))
+        ranked = tied.join(after, ["content", "at"]).select("content", "at", F.xxhash64("rank", "after").alias("rank"))
+        length *= 2
+    return reduce(DataFrame.union, levels).groupBy("content", "at").agg(F.max("length").alias("length"))
 
-    def decided(batches):
-        for batch in batches:
-            kept = []
-            for texts, starts in zip(batch.column("texts").to_pylist(), batch.column("starts").to_pylist()):
-                lengths = np.array([t.count(" ") + 1 for t in texts], np.int64)
-                ends = np.cumsum(lengths)
-                change = np.zeros(ends[-1] + 1, np.int64)
-                change[starts] += 1
-                change[np.array(starts) + RUN] -= 1
-                total = np.concatenate([[0], np.cumsum(np.cumsum(change)[:-1] > 0)])
-                kept.append(np.flatnonzero(total[ends] - total[ends - lengths] <= COVERED * lengths).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(kept, pa.list_(pa.int32()))], ["content", "kept"])
 
-    return mapped(contents.select("content", "texts").join(starts, "content"), decided, "content long, kept array<int>")
+def without_runs(texts: list[str], may_go: list[bool], starts: list[int], lengths: list[int]) -> list[str]:
+    """The texts without the tokens of runs (token places are counted over all texts), in those that may lose some."""
+    counts = np.array([t.count(" ") + 1 for t in texts], np.int64)
+    change = np.zeros(counts.sum() + 1, np.int64)
+    np.add.at(change, starts, 1)
+    np.add.at(change, np.array(starts, np.int64) + lengths, -1)
+    gone, ends, out = np.cumsum(change)[:-1] > 0, np.cumsum(counts).tolist(), []
+    for text, may, end, n in zip(texts, may_go, ends, counts.tolist()):
+        own = gone[end - n : end]
+        out.append(" ".join(token for token, off in zip(text.split(" "), own.tolist()) if not off) if may and own.any() else text)
+    return out
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -280,15 +374,27 @@ def main_texts(pages: DataFrame) -> DataFrame:
                     ["page_id", "url", "host_id", "kinds", "texts"],
                 )
 
-    parsed = land(mapped(rows, split, "page_id long, url string, host_id long, kinds array<int>, texts array<string>"), "page_blocks")
-    best = F.when(F.array_contains("kinds", ARTICLE), ARTICLE).when(F.array_contains("kinds", MAIN), MAIN).when(F.array_contains("kinds", INNER), INNER)
-    marked = parsed.where(best.isNotNull()).select("page_id", "url", F.filter("texts", lambda _, i: F.get("kinds", i) == best).alias("texts"))
-    unmarked = parsed.where(best.isNull())
-    # Only hosts of pages that mark nothing are looked through, but then all of their pages.
-    hosts = land(unmarked.where("size(texts) > 0").select("host_id").distinct(), "hosts")
-    content = F.xxhash64("host_id", "texts").alias("content")
-    contents = parsed.where("size(texts) > 0").join(hosts, "host_id", "left_semi").select(content, "host_id", "texts").dropDuplicates(["content"])
-    kept = land(kept_blocks(land(contents, "contents")), "kept_blocks")
-    chosen = F.when(F.col("kept").isNull(), F.col("texts")).otherwise(F.transform("kept", lambda i: F.get("texts", i)))
-    decided = unmarked.select("page_id", "url", "texts", content).join(kept, "content", "left").select("page_id", "url", chosen.alias("texts"))
-    return marked.union(decided).select("page_id", "url", F.array_join("texts", "\n").alias("text"))
+    parsed = mapped(rows, split, "page_id long, url string, host_id long, kinds array<int>, texts array<string>")
+    parsed = land(parsed.withColumn("content", F.xxhash64("host_id", "texts")), "page_blocks")
+    kinds = F.transform("kinds", lambda kind: kind.bitwiseAND(~DOUBT))
+    best = F.coalesce(*[F.when(F.array_contains(kinds, kind), kind) for kind in (ARTICLE, MAIN, INNER)], F.lit(OTHER))
+    judged = parsed.withColumn("best", best)
+    # Runs of all pages count; those of pages whose blocks all stay are not needed any more.
+    open_ = (F.col("best") == OTHER) | F.exists("kinds", lambda kind: kind >= DOUBT)
+    wanted = judged.where(open_).select("content").distinct()
+    runs = repeats(parsed.where("size(texts) > 0").select("content", "host_id", "texts")).join(wanted, "content", "left_semi")
+    spans = land(runs.groupBy("content").agg(F.collect_list("at").alias("starts"), F.collect_list("length").alias("lengths")), "spans")
+
+    def cut(batches):
+        for batch in batches:
+            left = []
+            for kinds, texts, best, starts, lengths in zip(*(batch.column(c).to_pylist() for c in ("kinds", "texts", "best", "starts", "lengths"))):
+                if starts:
+                    texts = without_runs(texts, [best == OTHER or kind >= DOUBT for kind in kinds], starts, lengths)
+                left.append([text for kind, text in zip(kinds, texts) if text and kind & ~DOUBT == best])
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(left, pa.list_(pa.string()))], ["page_id", "url", "texts"])
+
+    decided = mapped(judged.where(open_).join(spans, "content", "left"), cut, "page_id long, url string, texts array<string>")
+    whole = F.filter("texts", lambda _, i: F.get(kinds, i) == F.col("best"))
+    stays = judged.where(~open_).select("page_id", "url", whole.alias("texts"))
+    return stays.union(decided).select("page_id", "url", F.array_join("texts", "\n").alias("text"))

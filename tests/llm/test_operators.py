@@ -453,6 +453,37 @@ def test_main_text_of_hosts_without_articles(spark):
     assert got == want
 
 
+def test_repeats_are_found_by_suffix_order(spark):
+    """The runs of any length cover what the plain version marks, and start with the longest; copies are one content, hosts are apart."""
+    draw = random.Random(11)
+    common = [draw.randrange(40) for _ in range(70)]
+    pages = []
+    for i in range(14):
+        own = [draw.randrange(3 if i < 4 else 40) for _ in range(draw.randrange(1, 60))]
+        at, n = draw.randrange(50), draw.randrange(9, 70)
+        pages.append(own + common[at : at + n] + [1000 + i])
+    rows = [(i, host, [" ".join(map(str, p[:5])), " ".join(map(str, p[5:]))]) for host in (1, 2) for i, p in enumerate(pages) if len(p) > 5 and (host == 1 or i == 3)]
+    rows = [(100 * host + i, host, texts) for i, host, texts in rows]
+    found = main_text.repeats(spark.createDataFrame(rows + rows[:2], "content long, host_id long, texts array<string>")).collect()
+    kept = [p for p in pages if len(p) > 5]
+    tokens, of = np.array(sum(kept, [])), np.repeat(np.arange(len(kept)), [len(p) for p in kept])
+    want = main_text.repeated(tokens, of)
+    got, begin = np.zeros(len(tokens), bool), dict(zip([100 + i for i, p in enumerate(pages) if len(p) > 5], np.cumsum([0] + [len(p) for p in kept])))
+    for r in found:
+        got[begin[r["content"]] + r["at"] : begin[r["content"]] + r["at"] + r["length"]] = True
+    assert (got == want).all() and want.any() and not want.all()
+    assert max(r["length"] for r in found) > 2 * main_text.RUN and len({(r["content"], r["at"]) for r in found}) == len(found)
+
+
+def test_runs_are_cut_in_doubtful_blocks(spark):
+    """What stands on two pages goes from unmarked blocks and from "main-nav" in an article; words beside it, the article's own and unique blocks stay."""
+    menu, own = "one two three four five six seven eight nine", [words(1000 + i, 15) for i in range(8)]
+    rows = [(i, f"http://a.example/{i}", f"<article><div class='main-nav'>{menu}</div><p>{own[i]}</p><p>{menu}</p><div class='with-menu'>{menu}</div><div class='reader-comments'>{own[4 + i]}</div></article>") for i in range(2)]
+    rows += [(2 + i, f"http://b.example/{i}", f"<div>{own[2 + i]} {menu}</div>") for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in main_text.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"{own[i]}\n{menu}\n{menu}\n{own[4 + i]}" for i in range(2)} | {2 + i: own[2 + i] for i in range(2)}
+
+
 def test_page_runs_agree_with_the_plain_version():
     draw = random.Random(8)
     pages = [["".join(" " * bool(n) + draw.choice(("a", "bb", "é😀")) for n in range(draw.randrange(1, 14))) for _ in range(draw.randrange(1, 5))] for _ in range(30)]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -25,8 +26,8 @@ from pyspark.sql import types as T
 
 from ledgerline.llm.shipping import mapped
 
-#: Words whose ids a worker keeps; when they are so many it starts anew.
-KEPT_WORDS = 1 << 17
+#: Words whose ids a worker keeps; when they are so many, those of a generation before are dropped, unless asked for since.
+KEPT_WORDS = 1 << 18
 #: Longer words are not kept.
 KEPT_LENGTH = 64
 #: Code points of text encoded at once.
@@ -44,7 +45,7 @@ def byte_letters() -> dict[str, int]:
 
 
 class Vocabulary(dict):
-    """Maps a word to the array of its ids; missing words are encoded and kept."""
+    """Maps a word to its ids as 32-bit integers in bytes; missing words are encoded and kept."""
 
     def __init__(self, content: str):
         model = json.loads(content)
@@ -65,11 +66,15 @@ class Vocabulary(dict):
         self.pattern = regex.compile(PATTERN)
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.arrow = pa.array(self.bytes_of, pa.large_binary())
+        self.before: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.merged(word.encode()))
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = array("i", self.merged(word.encode())).tobytes()
         if len(word) <= KEPT_LENGTH:
             if len(self) >= KEPT_WORDS:
+                self.before = self.copy()
                 self.clear()
             self[word] = ids
         return ids
@@ -105,14 +110,11 @@ class Vocabulary(dict):
         for found in [*(self.cut.finditer(text) if self.cut else ()), None]:
             part = text[start : found.start() if found else len(text)]
             words = (m.group() for m in self.pattern.finditer(part)) if len(part) > CHUNK else self.pattern.findall(part)
-            ids: list[int] = []
-            for own in map(self.__getitem__, words):
-                ids += own
-            out.append(np.array(ids, np.int32))
+            out += map(self.__getitem__, words)
             if found:
-                out.append(np.array([self.special[found.group()]], np.int32))
+                out.append(array("i", [self.special[found.group()]]).tobytes())
                 start = found.end()
-        return np.concatenate(out)
+        return np.frombuffer(b"".join(out), np.int32)
 
 
 @lru_cache(2)

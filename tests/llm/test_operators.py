@@ -395,6 +395,17 @@ def test_chat_trees_that_branch_at_every_turn(spark):
         assert prefix_tree.restored(under) == "".join(t for a, t in own[conv_id] if a == "assistant")
 
 
+def test_words_of_the_generation_before_are_not_merged_again(monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    with open(vocabulary_path(), encoding="utf-8") as file:
+        own = bpe.Vocabulary(file.read())
+    merged, asked = own.merged, []
+    monkeypatch.setattr(own, "merged", lambda word: asked.append(word) or merged(word))
+    first = own.encoded("one two three four one").tolist()
+    assert sorted(asked) == sorted([b"one", b" two", b" three", b" four", b" one"]) and own.encoded(" three four one").tolist() == first[2:]
+    assert len(asked) == 5
+
+
 PAGE = """<html><head><title>t</title><script>var x="<p>no</p>"</script></head><body><header>Site</header><nav><a>Menu</a></nav><div class="cookie-notice">Cookies</div>
 <article><header><h1>The &amp; title</h1></header><p>One <b>bold</b>
  text<br>more<p>Two &#233;<div class="ad">Buy</div><form><input>Name</form><ul><li>a<li>b</ul><aside>Side</aside><section class="comments"><p>Reader</p></section></article><footer>End</footer></body>"""

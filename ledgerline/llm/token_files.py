@@ -49,7 +49,7 @@ from ledgerline.sources.landing import fresh_path, land
 SHARD_BYTES = 256 << 20
 SHARD_DOCS = 1 << 22
 #: Words and pieces of words whose ids a worker keeps (twice), and the length of the longest of them.
-KEPT_WORDS, KEPT_PIECES = 3 << 17, 3 << 17
+KEPT_WORDS, KEPT_PIECES = 1 << 18, 1 << 17
 KEPT_LENGTH = 64
 #: Below are Latin letters whose case, composition and classes are the same in all versions of Unicode.
 SIMPLE = "\u0250"
@@ -123,7 +123,10 @@ class Words:
         steps = [n["type"] for n in normalizer.get("normalizers", [normalizer]) if n]
         # Letters below SIMPLE are only lowered by these steps, and the pattern means the same there to every library.
         simple = steps == ["NFC", "Replace", "Lowercase"] and not any(t.isalpha() for t in added)
-        self.pattern = regex.compile(model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]) if simple else None
+        pattern = model["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern) if simple else None
+        # A mark after letters is a piece of its own.
+        self.marks = ".,;:!?" if {r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"} <= set(pattern.split("|")) else ""
         letters = bytes_to_letters()
         self.letters = {byte: letters[byte] for byte in range(256)}
         self.pieces = Kept(self._piece, KEPT_PIECES)
@@ -136,7 +139,8 @@ class Words:
         return made.tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        spelled = piece.encode().decode("latin-1").translate(self.letters)
+        # ASCII letters stand for themselves.
+        spelled = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
         return self._bytes([t.id for t in self.tokenizer.model.tokenize(spelled)])
 
     def _word(self, raw: bytes) -> bytes:
@@ -147,6 +151,8 @@ class Words:
                 if low.isalpha():
                     return self.pieces[low]
                 if word.isprintable() and not self.added.search(word):
+                    if low[-1] in self.marks and low[:-1].isalpha():
+                        return self.pieces[low[:-1]] + self.pieces[low[-1]]
                     return b"".join(map(self.pieces.__getitem__, self.pattern.findall(low)))
         return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 

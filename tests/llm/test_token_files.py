@@ -88,3 +88,14 @@ def test_query_over_the_given_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted(map(tuple, op11_token_files(spark, folder).collect()), key=lambda r: r[1])
     assert got == plain(rows)
+
+
+def test_kept_words_are_bounded():
+    """Words and pieces kept together, whatever the number of different words; the ids stay the library's."""
+    own = tf.Words(LIBRARY.to_str(), 1)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for block in range(0, 26**4, 26**3):
+        own.encoded(" ".join(letters[i // 26**3] + letters[i // 26**2 % 26] + letters[i // 26 % 26] + letters[i % 26] + end for i in range(block, block + 26**3) for end in ("", "x")).encode())
+    assert len(own.words) + len(own.words.before) + len(own.pieces) + len(own.pieces.before) <= 800_000
+    for text in ("Word. word, WORD; a:b; end! why? é. x2. 's. it's. ... .a a.. <|endoftext|>.", "qzx. Qzx, qzx"):
+        assert np.frombuffer(own.encoded(text.encode()), own.kind).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids + [1]

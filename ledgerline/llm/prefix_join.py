@@ -44,14 +44,14 @@ def counted(texts: DataFrame, k: int) -> np.ndarray:
         total, waiting, n = np.zeros(COUNTERS, np.int64), [], 0
 
         def add():
-            total[:] += np.bincount((np.concatenate(waiting) >> np.uint64(43)).astype(np.int64), minlength=COUNTERS)
+            np.add.at(total, (np.concatenate(waiting) >> np.uint64(43)).astype(np.int64), 1)
 
         for batch in batches:
             for _, data, offsets in chunks(batch.column(0)):
                 for own in shingles(data, offsets, k, distinct=False):
                     waiting.append(own)
                     n += len(own)
-                if n > 1_000_000:
+                if n > 250_000:
                     add()
                     waiting, n = [], 0
         if waiting:
